@@ -26,9 +26,9 @@ WS = (
 )
 
 # A section header: an item number or a part number.
-_HEADER = rf"(?:ITEM{WS}+\d+[A-Z]?\.?|PART{WS}+[IVXLCDM]+)"
-# Case-insensitive, ^ and $ at lines, and only \n ends a line.
-_FLAGS = "(?imd)"
+_HEADER = rf"(?:ITEM{WS}+\p{{Nd}}+[A-Z]?\.?|PART{WS}+[IVXLCDM]+)"
+# Case-insensitive in Unicode, ^ and $ at lines, and only \n ends a line.
+_FLAGS = "(?iumd)"
 
 
 def strip(text: Column) -> Column:
