@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docspark.sources.filings import spread
+
 YEAR = "case lang when 'en' then 2020 when 'fr' then 2019 else 2018 end"
 
 SEGMENTS = f"""
@@ -54,15 +56,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def filings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    segments = spark.sql(SEGMENTS.replace("from documents", "from {documents}"), documents=documents)
+    segments = spark.sql(
+        SEGMENTS.replace("from documents", "from {documents}"), documents=documents(spark, sf_dir)
+    )
     return spark.sql(FILINGS_RAW.replace("from segments", "from {segments}"), segments=segments)
 
 
 def filings_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    segments = spark.sql(SEGMENTS.replace("from documents", "from {documents}"), documents=documents)
+    segments = spark.sql(
+        SEGMENTS.replace("from documents", "from {documents}"), documents=documents(spark, sf_dir)
+    )
     return spark.sql(FILINGS_WIDE.replace("from segments", "from {segments}"), segments=segments)
 
 

@@ -133,13 +133,13 @@ def sections_keep_last(spark, sf):
 
 @query
 def chunk_words(spark, sf):
-    documents = fx.table(spark, sf, "documents").select("doc_id", "text")
+    documents = fx.documents(spark, sf).select("doc_id", "text")
     return chunk.chunk_words(documents, size=50)
 
 
 @query
 def chunk_overlap(spark, sf):
-    documents = fx.table(spark, sf, "documents").select("doc_id", "text")
+    documents = fx.documents(spark, sf).select("doc_id", "text")
     return chunk.chunk_words(documents, size=50, overlap=10)
 
 

@@ -8,6 +8,16 @@ from docspark import schemas
 from docspark.params import NA_TOKENS
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer pieces than the session has cores.
+
+    One small or unsplittable file would otherwise keep the row-local text work in one
+    task; a scan with enough pieces stays as it is, so large tables are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_raw(
     spark: SparkSession,
     path: str,

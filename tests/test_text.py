@@ -55,9 +55,12 @@ def model_sections(text, keep_last=False):
     return list(found.items())
 
 
-def test_whitespace_is_what_python_calls_space():
+def test_whitespace_is_what_python_calls_space(spark):
     assert set(tx.WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
-    assert all(re.fullmatch(tx.WS.replace("\\x{", "\\u").replace("}", ""), c) for c in tx.WHITESPACE)
+    chars = spark.createDataFrame([(chr(c),) for c in range(1, 0x4000)], "c STRING")
+    spaces = chars.where(F.regexp_like("c", F.lit(rf"\A{tx.WS}\z"))).collect()
+    assert {r.c for r in spaces} == set(tx.WHITESPACE)
+    assert chars.where(tx.collapse(F.col("c")) == "").count() == len(tx.WHITESPACE)
 
 
 @pytest.mark.parametrize("case", range(len(EDGE_FILINGS)))
