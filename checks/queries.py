@@ -211,27 +211,36 @@ def kmeans7(spark, sf):
     )
 
 
-def labelled(spark: SparkSession, sf: str) -> DataFrame:
+def labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, int | None]:
     """The label as cluster, its mean vector as center: no fit is involved."""
     rows = embeddings(spark, sf).withColumnRenamed("label", "prediction")
-    return cluster.center_distance(rows, cluster.mean_centers(rows), "embedding")
+    few = cluster.few_clusters(rows)
+    centers = cluster.mean_centers(rows)
+    return cluster.center_distance(rows, centers, "embedding", clusters=few), few
+
+
+def flagged(spark: SparkSession, sf: str) -> DataFrame:
+    rows, few = labelled(spark, sf)
+    return cluster.flag_outliers(rows, clusters=few)
 
 
 @query
 def center_distance(spark, sf):
-    return labelled(spark, sf).select("vec_id", "prediction", rounded("distance_to_center", 4))
+    rows, _ = labelled(spark, sf)
+    return rows.select("vec_id", "prediction", rounded("distance_to_center", 4))
 
 
 @query
 def cluster_stats(spark, sf):
-    return cluster.cluster_stats(labelled(spark, sf)).select(
+    rows, _ = labelled(spark, sf)
+    return cluster.cluster_stats(rows).select(
         "prediction", rounded("mean_dist", 4), rounded("std_dist", 4)
     )
 
 
 @query
 def outliers(spark, sf):
-    return cluster.flag_outliers(labelled(spark, sf)).select(
+    return flagged(spark, sf).select(
         "vec_id",
         "prediction",
         rounded("distance_to_center", 4),
@@ -253,6 +262,8 @@ def explore_filings(spark, sf):
 def cosine_to_center(spark, sf):
     rows = embeddings(spark, sf)
     centers = cluster.mean_centers(rows, "label")
+    if cluster.few_clusters(rows, "label") is not None:
+        centers = F.broadcast(centers)
     score = v.cosine(v.doubles(F.col("embedding")), F.col("center"))
     return rows.join(centers, "label").select(
         "vec_id", "label", F.round(score, 6).alias("similarity")
@@ -328,7 +339,7 @@ def retrieval_summary(spark, sf):
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
     """The first two components as the plane, document columns as section and company."""
-    rows = cluster.flag_outliers(labelled(spark, sf))
+    rows = flagged(spark, sf)
     documents = fx.table(spark, sf, "documents").select(
         F.col("doc_id").alias("vec_id"),
         F.col("lang").alias("section_title"),

@@ -71,23 +71,15 @@ def word_windows(text: Column, size: int, overlap: int = 0) -> Column:
 
 
 def header_pieces(text: Column, *, inline_titles: bool = False) -> Column:
-    """Split a text in front of every header line.
-
-    Java's ``split`` yields no empty first piece, so callers tell the preamble from a
-    section with :func:`starts_with_header`.
-    """
+    """Split a text in front of every header line; the preamble is a piece of its own."""
     line = rf"{_HEADER}\b[^\n]*$" if inline_titles else rf"{_HEADER}{WS}*$"
     return F.split(text, rf"{_FLAGS}^(?={line})")
 
 
-def starts_with_header(piece: Column, *, inline_titles: bool = False) -> Column:
-    end = r"\b" if inline_titles else rf"{WS}*$"
-    return F.regexp_like(piece, F.lit(rf"{_FLAGS}\A{_HEADER}{end}"))
-
-
-def header_of(piece: Column) -> Column:
-    """The header text at the start of a piece, as written."""
-    return F.regexp_extract(piece, rf"{_FLAGS}\A{_HEADER}", 0)
+def header_of(piece: Column, *, inline_titles: bool = False) -> Column:
+    """The header at the start of a piece, as written; empty for a preamble."""
+    end = r"\b" if inline_titles else rf"(?={WS}*$)"
+    return F.regexp_extract(piece, rf"{_FLAGS}\A{_HEADER}{end}", 0)
 
 
 def section_title(header: Column) -> Column:

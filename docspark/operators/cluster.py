@@ -99,6 +99,12 @@ def mean_centers(
     return df.groupBy(cluster).agg(mean.alias("center"))
 
 
+def few_clusters(df: DataFrame, cluster: str = "prediction") -> int | None:
+    """How many clusters there are, or None when too many to broadcast."""
+    rows = df.select(cluster).distinct().limit(BROADCAST_CLUSTERS + 1).count()
+    return rows if rows <= BROADCAST_CLUSTERS else None
+
+
 def _join_small(df: DataFrame, side: DataFrame, on: str, rows: int | None) -> DataFrame:
     if rows is not None and rows <= BROADCAST_CLUSTERS:
         side = F.broadcast(side)
@@ -115,7 +121,8 @@ def center_distance(
     """Add ``distance_to_center``, the Euclidean distance to the row's own center.
 
     ``features`` is an ML vector or a number array.  ``clusters`` is the known number of
-    centers; without it the join is left to the adaptive planner.
+    centers (see :func:`few_clusters`); without it no side is broadcast by hand and the
+    join is left to the adaptive planner.
     """
     values = F.col(features)
     if df.schema[features].dataType.typeName() != "array":

@@ -262,8 +262,14 @@ def search(
 
 
 def search_one(
-    chunks: DataFrame, query: str, year: int, encoder: Encoder, k: int = 5
+    chunks: DataFrame,
+    query: str,
+    year: int,
+    encoder: Encoder,
+    k: int = 5,
+    *,
+    preview_chars: int = 200,
 ) -> DataFrame:
     """Answer one question."""
     queries = chunks.sparkSession.createDataFrame([(1, query, year)], schemas.QUERY)
-    return search(chunks, queries, encoder, k)
+    return search(chunks, queries, encoder, k, preview_chars=preview_chars)

@@ -41,12 +41,18 @@ def extract_sections(
     pieces = F.col("_pieces")
     if not keep_last:
         pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    headed = F.transform(
+        pieces,
+        lambda p: F.struct(
+            tx.header_of(p, inline_titles=inline_titles).alias("header"), p.alias("piece")
+        ),
+    )
     sections = F.transform(
-        F.filter(pieces, lambda p: tx.starts_with_header(p, inline_titles=inline_titles)),
-        lambda p, i: F.struct(
-            tx.section_title(tx.header_of(p)).alias("title"),
+        F.filter(headed, lambda h: h["header"] != ""),
+        lambda h, i: F.struct(
+            tx.section_title(h["header"]).alias("title"),
             i.alias("pos"),
-            F.substring(p, F.length(tx.header_of(p)) + 1, F.length(p)).alias("body"),
+            F.substring(h["piece"], F.length(h["header"]) + 1, F.length(h["piece"])).alias("body"),
         ),
     )
     body = F.col("_s.body")

@@ -23,7 +23,6 @@ class Params:
     chunk_words: int = 500
     overlap_words: int = 0
     sections: tuple[str, ...] = SEARCH_SECTIONS
-    encoder_batch: int = 32
     pca_components: int = 50
     clusters: int = 7
     seed: int = 1

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from docspark.operators.chunk import chunk_wide
 from docspark.operators.embed import Encoder, embed
 from docspark.operators.evaluate import evaluate_retrieval, summarise, validation_items
+from docspark.operators.search import search_one
 from docspark.params import Params
 from docspark.sources import staging
 
@@ -41,9 +42,18 @@ def retrieve(
 ) -> Retrieval:
     """Build the chunk table, then check the search on the validation items.
 
-    The returned chunks are a written table: pass them to ``search`` for more questions.
+    The returned chunks are a written table: pass them to :func:`ask` for more questions.
     """
     chunks, n_chunks = staging.stage(index_chunks(filings, encoder, params), "chunks")
     kept = validation_items(filings, items, year)
     checked = evaluate_retrieval(chunks, kept, encoder, params.eval_top_k)
     return Retrieval(chunks, n_chunks, kept, checked, summarise(checked))
+
+
+def ask(
+    chunks: DataFrame, question: str, year: int, encoder: Encoder, params: Params = Params()
+) -> DataFrame:
+    """Answer one more question from the chunk table."""
+    return search_one(
+        chunks, question, year, encoder, params.top_k, preview_chars=params.preview_chars
+    )

@@ -130,6 +130,12 @@ def test_only_known_cluster_counts_are_broadcast(spark):
     assert "strategy=broadcast" not in unknown._jdf.queryExecution().analyzed().toString()
 
 
+def test_few_clusters(spark, monkeypatch):
+    assert cluster.few_clusters(distances(spark)) == 2
+    monkeypatch.setattr(cluster, "BROADCAST_CLUSTERS", 1)
+    assert cluster.few_clusters(distances(spark)) is None
+
+
 def test_mean_centers_and_distance(spark):
     df = spark.createDataFrame(
         [(0, [0.0, 0.0]), (0, [2.0, 0.0]), (1, [5.0, 5.0])], "prediction INT, embedding ARRAY<FLOAT>"

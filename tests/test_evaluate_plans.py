@@ -2,12 +2,12 @@
 
 import pytest
 
-from docspark.operators import evaluate, search
+from docspark.operators import evaluate
 from docspark.operators.embed import hash_bow
 from docspark.params import Params
 from docspark.plans.explore import explore, write_plots
 from docspark.plans.prepare import prepare
-from docspark.plans.retrieve import retrieve
+from docspark.plans.retrieve import ask, retrieve
 
 ENCODER = hash_bow(4096)
 ITEM = "item_id INT, query STRING, expected_section STRING, expected_answer STRING"
@@ -52,8 +52,8 @@ def test_hits_are_checked_in_rank_order(spark, filings, items):
     summary = done.summary.first()
     assert tuple(summary)[:4] == (3, 1, 2, 0)
     assert summary.hit_rate_at_1 == pytest.approx(1 / 3)
-    more = search.search_one(done.chunks, "unrelated", 2019, ENCODER, 3).collect()
-    assert [r.chunk_id for r in more] == ["c.htm_section_1_0"]
+    more = ask(done.chunks, "unrelated", 2019, ENCODER, Params(preview_chars=4)).collect()
+    assert [(r.chunk_id, r.chunk) for r in more] == [("c.htm_section_1_0", "unre...")]
 
 
 def test_item_without_hits(spark):
