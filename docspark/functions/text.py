@@ -43,7 +43,8 @@ def strip(text: Column) -> Column:
 def collapse(text: Column) -> Column:
     """Strip, and turn each inner run of white space into one blank."""
     blanks = F.regexp_replace(text, _ODD_WS, " ")
-    return F.btrim(F.regexp_replace(blanks, " {2,}", " "))
+    single = F.when(F.contains(blanks, F.lit("  ")), F.regexp_replace(blanks, " {2,}", " "))
+    return F.btrim(single.otherwise(blanks))
 
 
 def is_blank(text: Column) -> Column:
@@ -55,8 +56,8 @@ def has_text(text: Column) -> Column:
     return text.isNotNull() & ~is_blank(text)
 
 
-def word_windows(text: Column, size: int, overlap: int = 0) -> Column:
-    """Array of windows of ``size`` words, each joined by single blanks.
+def word_windows(plain: Column, size: int, overlap: int = 0) -> Column:
+    """Array of windows of ``size`` words of a collapsed text.
 
     One possessive pattern walks the text once, so the cost is linear in its length;
     an array of words sliced per window would be quadratic for a long document.
@@ -65,9 +66,9 @@ def word_windows(text: Column, size: int, overlap: int = 0) -> Column:
         raise ValueError("need size >= 1 and 0 <= overlap < size")
     window = rf"[^ ]++(?: [^ ]++){{0,{size - 1}}}+"
     if overlap == 0:
-        return F.regexp_extract_all(collapse(text), F.lit(window), F.lit(0))
+        return F.regexp_extract_all(plain, F.lit(window), F.lit(0))
     step = rf"[^ ]++(?: [^ ]++){{0,{size - overlap - 1}}}+"
-    return F.regexp_extract_all(collapse(text), F.lit(f"(?=({window})){step}"), F.lit(1))
+    return F.regexp_extract_all(plain, F.lit(f"(?=({window})){step}"), F.lit(1))
 
 
 def header_pieces(text: Column, *, inline_titles: bool = False) -> Column:

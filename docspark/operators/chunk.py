@@ -17,10 +17,15 @@ def chunk_words(
     size: int = 500,
     overlap: int = 0,
 ) -> DataFrame:
-    """Replace ``text`` by its chunks, one row each, numbered from 0 in ``chunk_index``."""
+    """Replace ``text`` by its chunks, one row each, numbered from 0 in ``chunk_index``.
+
+    The collapsed text is a column of its own, because a generator, unlike a projection,
+    would evaluate its repeated parts again.
+    """
     others = [c for c in df.columns if c != text]
-    windows = tx.word_windows(F.col(text), size, overlap)
-    return df.select(*others, F.posexplode(windows).alias("chunk_index", into))
+    plain = df.select(*others, tx.collapse(F.col(text)).alias("_plain"))
+    windows = tx.word_windows(F.col("_plain"), size, overlap)
+    return plain.select(*others, F.posexplode(windows).alias("chunk_index", into))
 
 
 def chunk_raw(
@@ -48,12 +53,15 @@ def chunk_wide(
     overlap: int = 0,
 ) -> DataFrame:
     """Filings with one column per section → chunks of the chosen sections."""
-    position = F.array_position(F.array(*[F.lit(s) for s in sections]), F.col("section")) - 1
-    long = (
-        df.unpivot(["filename", "cik", "year"], list(sections), "section", "text")
-        .where(F.col("text").isNotNull())
-        .withColumn("section_pos", position.cast("int"))
-    )
+    cells = [(F.lit(s), F.lit(i), F.col(s)) for i, s in enumerate(sections)]
+    long = df.select(
+        "filename",
+        "cik",
+        "year",
+        F.stack(F.lit(len(cells)), *[c for cell in cells for c in cell]).alias(
+            "section", "section_pos", "text"
+        ),
+    ).where(F.col("text").isNotNull())
     chunks = chunk_words(long, into="text", size=size, overlap=overlap)
     return chunks.select(
         "text",
