@@ -47,13 +47,9 @@ def collapse(text: Column) -> Column:
     return F.btrim(single.otherwise(blanks))
 
 
-def is_blank(text: Column) -> Column:
-    return F.length(strip(text)) == 0
-
-
 def has_text(text: Column) -> Column:
-    """Neither null nor blank."""
-    return text.isNotNull() & ~is_blank(text)
+    """Neither null nor blank; the search ends at the first character that is no space."""
+    return F.coalesce(F.regexp_like(text, F.lit(rf"(?s)(?!{WS}).")), F.lit(False))
 
 
 def word_windows(plain: Column, size: int, overlap: int = 0) -> Column:

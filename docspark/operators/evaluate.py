@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docspark import schemas
 from docspark.operators.embed import Encoder
+from docspark.operators.profile import section_columns
 from docspark.operators.search import search
 from docspark.operators.select import first_per_year
 
@@ -19,12 +20,15 @@ def validation_items(filings: DataFrame, items: DataFrame, year: int | None = No
     if year is not None:
         items = items.withColumn("year", F.lit(year).cast("int"))
         filings = filings.where(F.col("year") == year)
-    sections = [c for c in filings.columns if c.startswith("section_")]
+    sections = section_columns(filings)
+    flags = filings.select(
+        "filename", "year", "cik", *[F.col(c).isNotNull().alias(c) for c in sections]
+    )
     present = (
-        first_per_year(filings)
-        .unpivot(["year", "cik"], sections, "expected_section", "text")
-        .where(F.col("text").isNotNull())
-        .drop("text")
+        first_per_year(flags)
+        .unpivot(["year", "cik"], sections, "expected_section", "present")
+        .where("present")
+        .drop("present")
     )
     return items.join(present, ["year", "expected_section"]).select(*schemas.VALIDATION_ITEM.names)
 

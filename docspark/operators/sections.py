@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docspark.functions import text as tx
 
+# A substring of this length reaches the end of any text.
+_REST = 2**31 - 1
+
 
 def _last_of_each_title(ordered: Column) -> Column:
     """Of sections sorted by title and position keep those whose title is new next."""
@@ -52,7 +55,7 @@ def extract_sections(
         lambda h, i: F.struct(
             tx.section_title(h["header"]).alias("title"),
             i.alias("pos"),
-            F.substring(h["piece"], F.length(h["header"]) + 1, F.length(h["piece"])).alias("body"),
+            F.substring(h["piece"], F.length(h["header"]) + 1, F.lit(_REST)).alias("body"),
         ),
     )
     body = F.col("_s.body")

@@ -41,10 +41,11 @@ def in_year(df: DataFrame, year: int) -> DataFrame:
 def first_per_year(df: DataFrame, order_by: str = "filename") -> DataFrame:
     """One filing per year, the first by name; an empty year gives no row.
 
-    The first names come from a scan of two columns, pre-aggregated per task.  The wide
-    rows are only filtered by them, never sorted or shuffled as long as the years are
-    few, which is checked.  The window afterwards sees the filings that share a first
-    name and keeps one of them.
+    The first names come from a scan of two columns, pre-aggregated per task.  While the
+    years are few, which is checked, the names go into the scan as a filter: a row group
+    that does not hold the smallest name of its year is skipped by its statistics, and the
+    other wide rows are never sorted or shuffled.  The window afterwards sees the filings
+    that share a first name and keeps one of them.
     """
     first = (
         df.where(F.col("year").isNotNull())
@@ -54,6 +55,7 @@ def first_per_year(df: DataFrame, order_by: str = "filename") -> DataFrame:
     few = first.limit(BROADCAST_YEARS + 1).collect()
     if len(few) <= BROADCAST_YEARS:
         first = F.broadcast(df.sparkSession.createDataFrame(few, first.schema))
+        df = df.where(F.col(order_by).isin([row[order_by] for row in few]))
     rest = [c for c in df.columns if c not in ("year", order_by)]
     w = Window.partitionBy("year").orderBy(order_by, *rest)
     return (

@@ -57,6 +57,13 @@ def test_first_per_year_beyond_the_broadcast_bound(filings, monkeypatch):
     assert sorted(map(str, df.collect())) == expected
 
 
+def test_first_names_are_pushed_to_the_scan(spark, filings, tmp_path):
+    filings.write.parquet(str(tmp_path / "filings"))
+    df = select.first_per_year(spark.read.parquet(str(tmp_path / "filings")))
+    assert "In(filename, [a.htm,c.htm])" in df._jdf.queryExecution().toString()
+    assert df.count() == 2
+
+
 def test_corpus_shape_and_values(filings):
     assert tuple(profile.corpus_shape(filings).first()) == (5, 5, 2, 5, 2019, 2020)
     assert tuple(profile.corpus_shape(filings.limit(0)).first()) == (0, 5, 0, 0, None, None)
