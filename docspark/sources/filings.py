@@ -18,6 +18,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns by name and type; absent ones and bad values are null."""
+    found = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        column = F.col(field.name) if field.name in found else F.lit(None)
+        if found.get(field.name) != field.dataType:
+            column = column.try_cast(field.dataType)
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -26,11 +38,17 @@ def read_raw(
     year: int | None = None,
     split: str | None = None,
 ) -> DataFrame:
-    """Filings with one text column; year and split become scan filters."""
+    """Filings with one text column; year and split become scan filters.
+
+    Parquet knows its types; JSON is read as text and cast, so nothing is inferred.
+    """
     schema = schemas.RAW_FILING
     if split is not None:
         schema = T.StructType([*schema.fields, T.StructField("split", T.StringType())])
-    df = spark.read.schema(schema).format(fmt).load(path)
+    reader = spark.read.format(fmt)
+    if fmt != "parquet":
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in schema.names]))
+    df = conform(reader.load(path), schema)
     if year is not None:
         df = df.where(F.col("year") == year)
     if split is not None:
@@ -46,8 +64,7 @@ def read_wide(
     years: list[int] | None = None,
 ) -> DataFrame:
     """Filings with one column per section."""
-    df = spark.read.schema(schemas.WIDE_FILING).parquet(path)
-    return filter_cik_years(df, cik, years)
+    return filter_cik_years(conform(spark.read.parquet(path), schemas.WIDE_FILING), cik, years)
 
 
 def filter_cik_years(
@@ -65,8 +82,9 @@ def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFram
     """Texts that stand for "missing" become null; blanks stay."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    tokens = ", ".join(f"'{token}'" for token in NA_TOKENS)
     return df.withColumns(
-        {c: F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)) for c in columns}
+        {c: F.expr(f"CASE WHEN `{c}` NOT IN ({tokens}) THEN `{c}` END") for c in columns}
     )
 
 

@@ -26,6 +26,7 @@ def test_wide_scan_prunes_years_and_columns_and_pushes_the_company(spark, wide_p
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [(year" in plan
     assert "EqualTo(cik,1)" in plan
     assert "ReadSchema: struct<filename:string,cik:string,section_1:string>" in plan
+    assert "cast" not in plan.split("Physical Plan")[1]
     assert df.count() == 10
 
 
@@ -49,6 +50,16 @@ def test_raw_scan(spark, tmp_path, fmt):
     assert [tuple(r) for r in kept] == [("1", "One", "10-K", 2020, "a\nb")]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_other_types_and_absent_columns(spark, tmp_path, fmt):
+    rows = [(7, "2020", "t"), (8, "unknown", "u")]
+    path = str(tmp_path / fmt)
+    spark.createDataFrame(rows, "cik LONG, year STRING, text STRING").write.format(fmt).save(path)
+    found = src.read_raw(spark, path, fmt=fmt).orderBy("cik").collect()
+    assert [(r.cik, r.year, r.company_name) for r in found] == [("7", 2020, None), ("8", None, None)]
+    assert src.read_raw(spark, path, fmt=fmt, year=2020).count() == 1
+
+
 def test_missing_tokens(spark, tmp_path):
     texts = ["N/A", "None", "NA", "null", "None.", " ", "", 'say "hi", and\r\nbye \\n', "  pad "]
     rows = [(f"f{i}", "1", 2020, t) for i, t in enumerate(texts)]
