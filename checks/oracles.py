@@ -247,6 +247,18 @@ select query_id, bucket, round(weight, 6) as weight from vec""",
     "scale": f"""with {CELLS}
 select vec_id, cast(dim as int) as dim,
        round(x / stddev_samp(x) over (partition by dim), 6) + 0.0 as value from cells""",
+    "pca_lengths": f"""with {CELLS},
+scaled as (select vec_id, x / stddev_samp(x) over (partition by dim) as x from cells)
+select vec_id, round(sqrt(sum(x * x)), 6) as length from scaled group by vec_id""",
+    "explore_counts": f"""with {RAW}, {_sections()},
+chosen as (select * from raw
+           where cik in (select distinct cik from raw order by cik limit 5)),
+chunks as ({_windows("(select * from sections semi join chosen using (doc_id))",
+                     "doc_id, section_title", "section_text", 500)})
+select 'filings' as stage, count(*) as n_rows from chosen
+union all select 'chunks', count(*) from chunks
+union all select 'embedded', count(*) from chunks
+union all select 'clustered', count(*) from chunks""",
     "center_distance": f"""with {DISTANCES}
 select vec_id, prediction, round(cast(distance_to_center as double), 4) as distance_to_center
 from distances""",

@@ -12,7 +12,6 @@ from docspark.functions import vectors as v
 from docspark.operators import chunk, cluster, evaluate, plots, profile, search, select
 from docspark.operators.embed import embed, hash_bow, with_vector
 from docspark.operators.sections import extract_sections
-from docspark.params import Params
 from docspark.plans.explore import explore
 from docspark.plans.prepare import prepare
 from docspark.plans.retrieve import index_chunks
@@ -203,6 +202,16 @@ def pca2(spark, sf):
     return reduced.select("vec_id", point[0].alias("x"), point[1].alias("y"))
 
 
+@query
+def pca_lengths(spark, sf):
+    """With all components kept the reduction is a rotation: it keeps every length."""
+    vectors = with_vector(embeddings(spark, sf))
+    scaled = cluster.fit_scaler(vectors).transform(vectors)
+    rotated = cluster.fit_pca(scaled, 64).transform(scaled)
+    length = v.norm(vector_to_array("pca_features_50"))
+    return rotated.select("vec_id", F.round(length, 6).alias("length"))
+
+
 @query
 def kmeans7(spark, sf):
     clustered = cluster.process_and_cluster(embeddings(spark, sf))
@@ -255,6 +264,12 @@ def explore_filings(spark, sf):
     return explore(fx.filings_raw(spark, sf), hash_bow()).plots["combined"]
 
 
+@query
+def explore_counts(spark, sf):
+    rows = explore(fx.filings_raw(spark, sf), hash_bow()).rows
+    return spark.createDataFrame(list(rows.items()), "stage STRING, n_rows LONG")
+
+
 # Retrieval
 
 

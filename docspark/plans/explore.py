@@ -32,7 +32,9 @@ def explore(
     """Run the whole exploration.
 
     Two stages are written: the embeddings, because the fits read them several times, and
-    the clustered rows, because all plots read them.  All counts come from these writes.
+    the narrow plot points, because all plots read them.  All counts come from these
+    writes.  The clustered rows with their vectors stay a plan over the embeddings: they
+    are several times as large as the texts and cheap to compute again.
     """
     chosen, n_filings = staging.observed(
         select_companies(filings, params.n_companies, ciks), "filings"
@@ -41,10 +43,8 @@ def explore(
         chunk_raw(chosen, size=params.chunk_words, overlap=params.overlap_words), "chunks"
     )
     embedded, n_embedded = staging.stage(embed(chunks, encoder), "embedded")
-    clustered, n_clustered = staging.stage(
-        process_and_cluster(embedded, params), "clustered"
-    )
-    points = plots.plot_points(clustered)
+    clustered = process_and_cluster(embedded, params)
+    points, n_clustered = staging.stage(plots.plot_points(clustered), "points")
     return Exploration(
         clustered=clustered,
         plots={

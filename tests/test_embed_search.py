@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from docspark import schemas
 from docspark.functions import vectors as v
 from docspark.operators import search
 from docspark.operators.chunk import chunk_wide
@@ -180,7 +181,10 @@ def test_search_shape_and_year(spark, indexed):
 
 def test_year_without_chunks(spark, indexed):
     hits = search.search_one(indexed, "apple", 1999, ENCODER)
-    assert hits.count() == 0 and "similarity_score" in hits.columns
+    assert hits.count() == 0
+    assert [(f.name, f.dataType) for f in hits.schema.fields] == [
+        (f.name, f.dataType) for f in schemas.SEARCH_HIT.fields
+    ]
 
 
 def test_each_chunk_is_encoded_once_per_search(spark, indexed):

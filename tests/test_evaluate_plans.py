@@ -2,6 +2,7 @@
 
 import pytest
 
+from docspark import schemas
 from docspark.operators import evaluate
 from docspark.operators.embed import hash_bow
 from docspark.params import Params
@@ -39,7 +40,11 @@ def items(spark):
 
 
 def test_items_need_their_section_in_the_first_filing(filings, items):
-    kept = evaluate.validation_items(filings, items, 2020).orderBy("item_id").collect()
+    kept = evaluate.validation_items(filings, items, 2020)
+    assert [(f.name, f.dataType) for f in kept.schema.fields] == [
+        (f.name, f.dataType) for f in schemas.VALIDATION_ITEM.fields
+    ]
+    kept = kept.orderBy("item_id").collect()
     assert [(r.item_id, r.year, r.cik) for r in kept] == [(1, 2020, "1"), (2, 2020, "1"), (3, 2020, "1")]
     assert evaluate.validation_items(filings, items, 1999).count() == 0
 

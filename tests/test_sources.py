@@ -86,6 +86,38 @@ def test_stage_counts_while_writing(spark):
     df, rows = staging.stage(spark.range(1000).where("id > 9"), "numbers")
     assert rows == 990 == df.count()
     assert "numbers" in df.inputFiles()[0]
-    assert df.inputFiles()[0].replace("file://", "").startswith(
-        spark.conf.get("spark.checkpoint.dir")
-    )
+    folder = staging.shared_folder(spark).removeprefix("file:")
+    assert df.inputFiles()[0].removeprefix("file://").startswith(folder)
+
+
+class Session:
+    """As much of a session as the folder rule looks at."""
+
+    def __init__(self, setting, master):
+        self.folder = None
+        self.master = master
+        self.conf = {"spark.checkpoint.dir": setting}
+        self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_is_the_named_one():
+    assert staging.shared_folder(Session("/shared", "yarn")) == "/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session(None, "yarn"))
+    local = Session(None, "local[2]")
+    assert staging.shared_folder(local) == staging.shared_folder(local) != ""
+
+
+def test_spread_only_deals_out_small_scans(spark, tmp_path):
+    rows = spark.range(100)
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = src.spread(spark.read.parquet(str(tmp_path / "one")))
+    assert one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 9)
+    assert src.spread(wide) is wide

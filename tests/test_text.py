@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from docspark import schemas
 from docspark.functions import text as tx
 from docspark.operators.chunk import chunk_raw, chunk_wide, chunk_words
 from docspark.operators.sections import extract_sections
@@ -150,6 +151,10 @@ def test_window_arguments(spark):
             tx.word_windows(F.col("text"), size, overlap)
 
 
+def types_of(schema):
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
 def test_chunk_raw_names_types_and_empty_sections(spark):
     text = "PART I\nITEM 1.\na b c d\nITEM 2.\nlost"
     rows = spark.createDataFrame(
@@ -157,6 +162,7 @@ def test_chunk_raw_names_types_and_empty_sections(spark):
         "cik STRING, company_name STRING, filing_type STRING, year INT, text STRING",
     )
     chunks = chunk_raw(rows, size=3)
+    assert types_of(chunks.schema) == types_of(schemas.RAW_CHUNK)
     assert [tuple(r) for r in chunks.orderBy("chunk_index").collect()] == [
         ("7", "Seven", "10-K", 2020, "ITEM 1", "a b c", 0),
         ("7", "Seven", "10-K", 2020, "ITEM 1", "d", 1),
@@ -169,7 +175,9 @@ def test_chunk_wide_ids_and_skipped_sections(spark):
         [("f.htm", "7", 2020, "a b c", None, " \n", "d", "e", "unused")],
         "filename STRING, cik STRING, year INT, " + ", ".join(f"{c} STRING" for c in columns),
     )
-    chunks = chunk_wide(rows, size=2).orderBy("section_pos", "chunk_index").collect()
+    chunks = chunk_wide(rows, size=2)
+    assert types_of(chunks.schema) == types_of(schemas.WIDE_CHUNK)
+    chunks = chunks.orderBy("section_pos", "chunk_index").collect()
     assert [(r.chunk_id, r.text, r.section_pos) for r in chunks] == [
         ("f.htm_section_1_0", "a b", 0),
         ("f.htm_section_1_1", "c", 0),
