@@ -29,7 +29,7 @@ WS = rf"[[^!-~\x{{a1}}-\x{{167f}}]&&{_SPACES}]"
 # White space other than the plain blank.
 _ODD_WS = rf"[[^ -~\x{{a1}}-\x{{167f}}]&&{_SPACES}]"
 
-# A section header: an item number or a part number.
+# The two forms of a section header, an item number or a part number.
 _HEADER = rf"(?:ITEM{WS}+\p{{Nd}}+[A-Z]?\.?|PART{WS}+[IVXLCDM]+)"
 # Case-insensitive in Unicode, ^ and $ at lines, and only \n ends a line.
 _FLAGS = "(?iumd)"

@@ -18,9 +18,11 @@ from docspark.sources import staging
 CHUNK_ORDER = ("filename", "section_pos", "chunk_index")
 # Scores are compared at this precision, so float noise cannot reorder equal chunks.
 SCORE_DIGITS = 9
-# One pass holds this many queries, and at most this many vector values, in a broadcast.
+# One pass broadcasts at most this many queries and vector values, and no more queries
+# than let a task keep this many hits.
 BLOCK_QUERIES = 4_096
 BLOCK_VALUES = 8_000_000
+BLOCK_HITS = 20_480
 # Chunk × query scores that a task holds at a time.
 TILE_SCORES = 2_000_000
 # Partial results are merged in this many groups per query before the last ranking.
@@ -47,15 +49,16 @@ def top_k(
 
     Each task multiplies its Arrow batches with the matrix of all queries and keeps a
     running top k, so what is shuffled is k rows per query and task, never chunk × query
-    pairs.  Queries travel in blocks of bounded size; when there are more than one block
-    the chunks are read once per block and the hits collect in a staged table.
+    pairs.  Queries travel in blocks of bounded size; with more than one block the chunks
+    are read once per block and the hits collect in a staged table.
     """
     if scope is not None:
         queries = queries.select("query_id", F.col(scope).alias("_scope"), "embedding")
     else:
         queries = queries.select("query_id", F.lit(None).cast("int").alias("_scope"), "embedding")
-    rows = queries.take(BLOCK_QUERIES + 1)
-    blocks = _blocks(rows if len(rows) <= BLOCK_QUERIES else queries.toLocalIterator())
+    per_block = max(1, min(BLOCK_QUERIES, BLOCK_HITS // k))
+    rows = queries.take(per_block + 1)
+    blocks = _blocks(rows if len(rows) <= per_block else queries.toLocalIterator(), per_block)
     block = next(blocks, [])
     hits = _top_k_block(chunks, queries.schema, block, k, order_by, scope, embedding)
     following = next(blocks, None)
@@ -70,14 +73,14 @@ def top_k(
     return chunks.sparkSession.read.schema(hits.schema).parquet(path)
 
 
-def _blocks(rows: Iterable[Row]) -> Iterator[list[Row]]:
+def _blocks(rows: Iterable[Row], per_block: int) -> Iterator[list[Row]]:
     """Cut the queries into blocks that are safe to broadcast."""
     block: list[Row] = []
     values = 0
     for row in rows:
         if row.embedding is None:
             continue
-        if block and (len(block) == BLOCK_QUERIES or values + len(row.embedding) > BLOCK_VALUES):
+        if block and (len(block) == per_block or values + len(row.embedding) > BLOCK_VALUES):
             yield block
             block, values = [], 0
         block.append(row)
@@ -149,13 +152,15 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
         length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
         return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
 
-    def shrink(table: pa.Table) -> pa.Table:
-        """The first k rows of each query."""
-        table = table.take(pc.sort_indices(table, sort_keys=sort_keys))
-        q = table.column("_q").to_numpy()
+    def first_k(q: np.ndarray) -> np.ndarray:
+        """Mask of the first k rows of each query; ``q`` is sorted."""
         start = np.concatenate([[True], q[1:] != q[:-1]])
         first = np.maximum.accumulate(np.where(start, np.arange(len(q)), 0))
-        return table.filter(pa.array(np.arange(len(q)) - first < k))
+        return np.arange(len(q)) - first < k
+
+    def shrink(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, sort_keys=sort_keys))
+        return table.filter(pa.array(first_k(table.column("_q").to_numpy())))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, query_scope = shipped.value
@@ -163,19 +168,22 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
         if n_queries == 0:
             return
         matrix = unit(matrix)
-        every = np.array([s is None for s in query_scope])
+        of_scope: dict = {}
+        for i, value in enumerate(query_scope):
+            of_scope.setdefault(value, []).append(i)
+        every = np.array(of_scope.pop(None, []), np.int64)
         by_scope = {
-            s: np.flatnonzero(np.array([every[i] or query_scope[i] == s for i in range(n_queries)]))
-            for s in {s for s in query_scope if s is not None}
+            value: np.sort(np.concatenate([every, np.array(own, np.int64)]))
+            for value, own in of_scope.items()
         }
         best = np.full((n_queries, k), -np.inf)
         kept: list[pa.Table] = []
         n_kept = 0
 
-        def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def rows_of(
+            batch: pa.RecordBatch, ordered: np.ndarray
+        ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """Pairs (rows in chunk order, the queries that see them)."""
-            keys = [(c, "ascending") for c in order_by]
-            ordered = pc.sort_indices(batch, sort_keys=keys).to_numpy()
             if scope is None:
                 yield ordered, np.arange(n_queries)
                 return
@@ -183,7 +191,7 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
             code = codes.indices.fill_null(-1).to_numpy()[ordered]
             values = [*codes.dictionary.to_pylist(), None]
             for c in np.unique(code):
-                seeing = by_scope.get(values[c], np.flatnonzero(every))
+                seeing = by_scope.get(values[c], every)
                 if len(seeing):
                     yield ordered[code == c], seeing
 
@@ -196,10 +204,12 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
             if len(flat) != batch.num_rows * matrix.shape[1]:
                 raise ValueError("chunk and query embeddings differ in length")
             vectors = unit(flat.reshape(batch.num_rows, -1).astype(np.float64))
+            keys = [(c, "ascending") for c in order_by]
+            ordered = pc.sort_indices(batch, sort_keys=keys).to_numpy()
             taken: list[np.ndarray] = []
             of_query: list[np.ndarray] = []
             scores: list[np.ndarray] = []
-            for rows, seeing in rows_of(batch):
+            for rows, seeing in rows_of(batch, ordered):
                 seen_by = matrix[seeing].T
                 step = max(1, tile_scores // len(seeing))
                 for begin in range(0, len(rows), step):
@@ -222,13 +232,18 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
                         scores.append(column[top])
             if not taken:
                 continue
+            row, q, value = map(np.concatenate, (taken, of_query, scores))
+            place = np.empty(len(ordered), np.int64)
+            place[ordered] = np.arange(len(ordered))
+            top = np.lexsort((place[row], -value, q))
+            top = top[first_k(q[top])]
             found = pa.Table.from_batches([batch]).drop_columns([embedding])
-            found = found.take(pa.array(np.concatenate(taken)))
-            found = found.add_column(0, "_q", pa.array(np.concatenate(of_query)))
-            found = found.append_column("similarity_score", pa.array(np.concatenate(scores)))
+            found = found.take(pa.array(row[top]))
+            found = found.add_column(0, "_q", pa.array(q[top]))
+            found = found.append_column("similarity_score", pa.array(value[top]))
             kept.append(found)
             n_kept += found.num_rows
-            if n_kept > 4 * k * n_queries:
+            if n_kept > 2 * k * n_queries:
                 kept = [shrink(pa.concat_tables(kept))]
                 n_kept = kept[0].num_rows
         if kept:

@@ -121,10 +121,11 @@ def test_top_k_equals_brute_force(spark, k):
     assert found(spark, chunks, queries, k) == brute_force(chunks, queries, k)
 
 
-def test_top_k_in_many_blocks_tiles_and_batches(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [("BLOCK_QUERIES", 5), ("BLOCK_HITS", 9), ("BLOCK_VALUES", 90)])
+def test_top_k_in_many_blocks_tiles_and_batches(spark, monkeypatch, limit):
     chunks, queries = world(200, 23, 9)
     expected = brute_force(chunks, queries, 4)
-    monkeypatch.setattr(search, "BLOCK_QUERIES", 5)
+    monkeypatch.setattr(search, *limit)
     monkeypatch.setattr(search, "TILE_SCORES", 7)
     monkeypatch.setattr(search, "MERGE_GROUPS", 3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
@@ -140,7 +141,7 @@ def test_block_size_counts_vector_values():
 
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(search, "BLOCK_VALUES", 25)
-        assert [len(b) for b in search._blocks([Row] * 5)] == [2, 2, 1]
+        assert [len(b) for b in search._blocks([Row] * 5, 100)] == [2, 2, 1]
 
 
 def test_queries_without_embedding_and_no_queries(spark):
