@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import compare, connect
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     same, line = compare(spark, con, SF, name)
     assert same, line
