@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docspark.llm import quality
+from docspark.llm import neardup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.cluster(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {}
