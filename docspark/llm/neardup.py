@@ -7,9 +7,8 @@ a table are candidates, and every link is confirmed on the full sets.
 
 Exact copies of a set form one class first, so a group of copies counts once.  Within a table
 every class is held against the smallest class only.  Candidates that this leaves in
-different components are then compared by their signatures in blocks inside the tasks: first
-the most similar partners of each class, then whatever still lies in different components.
-So no pairs of a group are emitted that cannot change the result.
+different components are then compared in blocks inside the tasks, most similar first, which
+return links only.  So no pairs of a group are emitted that cannot change the result.
 
 With the defaults a link of similarity exactly 0.8 is missed with probability 4e-5.
 """
@@ -31,8 +30,9 @@ TABLES = 16
 ROWS = 3
 # Members of one block of a large group; blocks are compared pair by pair.
 BLOCK = 2_000
-# Partners that a class tries before all that remain are tried.
-FIRST_PARTNERS = 3
+BLOCK_BYTES = 8_000_000
+# Unpacked text that a task holds while it confirms links.
+CONFIRM_BYTES = 4_000_000
 # A pair whose estimated similarity lies this many standard errors below the bound is no link.
 SIGMAS = 4.5
 
@@ -141,19 +141,12 @@ def cluster(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TAB
     hashes = 2 * tables * rows
     bound = percent / 100
     least = int(hashes * (bound - SIGMAS * np.sqrt(bound * (1 - bound) / hashes)))
-    alike = _similar(pairs, classes, least)
-    links, _ = staging.stage(_confirmed(alike, packed, size, percent), "confirmed")
+    links = _confirmed(_similar(pairs, classes, least), packed, size, percent)
+    links, _ = staging.stage(links, "confirmed")
     label = components(links)
-    tried = alike
-    for most in (FIRST_PARTNERS, None):
-        more = _across(members.join(involved, "cls", "left_semi"), classes, label, least, most)
-        more, n = staging.stage(more.join(tried, ["cls", "other"], "left_anti"), "across")
-        if not n:
-            break
-        found, _ = staging.stage(_confirmed(more, packed, size, percent), "confirmed")
-        links = links.union(found)
-        label = components(links)
-        tried = tried.union(more)
+    more, n = staging.stage(_across(members, classes, packed, label, least, size, percent), "across")
+    if n:
+        label = components(links.union(more))
 
     part = classes.select("cls", "rep_id").join(label.withColumnRenamed("node", "cls"), "cls", "left")
     part = part.select("cls", "rep_id", F.coalesce("label", "cls").alias("label"))
@@ -237,56 +230,66 @@ def _confirmed(pairs: DataFrame, packed: DataFrame, size: int, percent: int) ->
     theirs = packed.select(F.col("cls").alias("other"), F.col("packed").alias("p2"))
     both = pairs.join(own, "cls").join(theirs, "other").select("cls", "other", "p1", "p2")
 
-    def set_of(p: bytes) -> np.ndarray:
-        w = wd.words(pa.array([_unpack(p)], pa.large_binary()), lower=True)
-        return np.sort(shingles(w, size)[0])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, theirs_set = None, None
         for batch in batches:
-            good = []
             p1s, p2s = batch.column("p1"), batch.column("p2")
-            for i in range(batch.num_rows):
-                p1, p2 = p1s[i].as_py(), p2s[i].as_py()
-                if p2 != last:  # rows of one partner come together
-                    last, theirs_set = p2, set_of(p2)
-                mine = set_of(p1)
-                at = np.minimum(np.searchsorted(theirs_set, mine), len(theirs_set) - 1)
-                same = int((theirs_set[at] == mine).sum())
-                good.append(100 * same >= percent * (len(mine) + len(theirs_set) - same))
-            kept = batch.filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_pydict({"u": kept.column("cls"), "v": kept.column("other")})
+            at = 0
+            while at < batch.num_rows:
+                # Texts of a stretch of rows, each once, as long as they are not too many bytes.
+                place: dict[bytes, int] = {}
+                held, ends = 0, []
+                while at + len(ends) < batch.num_rows and held < CONFIRM_BYTES:
+                    row = []
+                    for p in (p1s[at + len(ends)].as_py(), p2s[at + len(ends)].as_py()):
+                        if p not in place:
+                            place[p] = len(place)
+                            held += int.from_bytes(p[:8], "little")
+                        row.append(place[p])
+                    ends.append(row)
+                sets = _sets(pa.array(list(place), pa.binary()), np.arange(len(place)), size)
+                good = [_linked(sets[x], sets[y], percent) for x, y in ends]
+                kept = batch.slice(at, len(ends)).filter(pa.array(good, pa.bool_()))
+                yield pa.RecordBatch.from_pydict({"u": kept.column("cls"), "v": kept.column("other")})
+                at += len(ends)
 
     return both.mapInArrow(run, "u binary, v binary")
 
 
-def _across(members: DataFrame, classes: DataFrame, label: DataFrame, least: int, most: int | None) -> DataFrame:
-    """Candidate pairs that lie in different components, each once.
+def _across(
+    members: DataFrame, classes: DataFrame, packed: DataFrame, label: DataFrame, least: int, size: int, percent: int
+) -> DataFrame:
+    """Links (u, v) between components, enough of them to connect all that are linked.
 
-    Groups of classes that share a key are cut in blocks; a task compares the signatures of
-    two blocks and returns the pairs that may be links, at most ``most`` for each class.
+    Classes that share a key and lie in different components are cut in blocks by number and
+    bytes.  A task holds two blocks, compares their signatures, and confirms the pairs that
+    may be links on the full sets, except those that links found before already connect.
     """
-    placed = members.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-    placed = placed.select("akey", "cls", F.coalesce("label", "cls").alias("label"))
+    placed = members.join(packed, "cls").join(label.withColumnRenamed("node", "cls"), "cls", "left")
+    placed = placed.withColumn("label", F.coalesce("label", "cls"))
     groups = placed.groupBy("akey").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("packed")).alias("bytes"),
     )
-    groups = groups.where("low <> high").select("akey", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    rows = placed.join(groups, "akey").join(classes.select("cls", "signature"), "cls")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    groups = groups.where("low <> high").select("akey", blocks.alias("blocks"))
+    rows = placed.join(groups, "akey").join(classes.select("cls", "a", "signature"), "cls")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "akey", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"), "cls", "label", "signature"
-    )
+        "akey", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"),
+        "own", "cls", "label", "a", "signature", "packed",
+    )
     rows = rows.repartition("akey", "x", "y").sortWithinPartitions("akey", "x", "y", "cls")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _runs(batches, ["akey", "x", "y"]):
-            left, right = _close(table, least, most)
-            cls = table.column("cls")
-            yield pa.RecordBatch.from_pydict({"cls": cls.take(pa.array(left)), "other": cls.take(pa.array(right))})
+        for group in _runs(batches, ["akey", "x", "y"]):
+            left, right = _settle(group, least, size, percent)
+            cls = group.column("cls")
+            yield pa.RecordBatch.from_pydict({"u": cls.take(pa.array(left)), "v": cls.take(pa.array(right))})
 
-    return rows.mapInArrow(run, "cls binary, other binary").distinct()
+    return rows.mapInArrow(run, "u binary, v binary").distinct()
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -307,26 +310,73 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Rec
     yield from rest
 
 
-def _close(table: pa.RecordBatch, least: int, most: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (larger class, smaller class) of different labels whose signatures agree."""
-    signature = _matrix(table.column("signature"))
-    label = pd.factorize(table.column("label").to_pandas())[0]
-    n = len(label)
+def _settle(group: pa.RecordBatch, least: int, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of confirmed links that connect different components."""
+    label = pd.factorize(group.column("label").to_pandas())[0]
     none = np.zeros(0, np.int64)
-    if n < 2 or (label == label[0]).all():
+    if (label == label[0]).all():
         return none, none
-    left, right = [none], [none]
+    n, own = len(label), group.column("own").to_numpy()
+    one_block = group.column("x")[0].as_py() == group.column("y")[0].as_py()
+    signature = _matrix(group.column("signature"))
+    keys = group.column("a").flatten().to_numpy().reshape(n, -1)
+    key = group.column("akey")[0].as_py()
+    found = []
     step = max(1, 8_000_000 // (n * signature.shape[1]))
     for i in range(0, n, step):
         agree = (signature[i : i + step, None, :] == signature[None, :, :]).sum(axis=2, dtype=np.int16)
         agree[label[i : i + step, None] == label[None, :]] = 0
-        if most is not None and n > most:
-            keep = np.argpartition(-agree, most - 1, axis=1)[:, :most]
-            only = np.zeros_like(agree)
-            np.put_along_axis(only, keep, np.take_along_axis(agree, keep, axis=1), axis=1)
-            agree = only
+        if not one_block:  # pairs of one block belong to that block alone
+            agree[own[i : i + step, None] == own[None, :]] = 0
         x, y = np.nonzero(agree >= least)
-        left.append(np.maximum(x + i, y))
-        right.append(np.minimum(x + i, y))
-    found = np.unique(np.concatenate(left) * n + np.concatenate(right))
-    return found // n, found % n
+        agree, x = agree[x, y], x + i
+        same = keys[x] == keys[y]
+        # A pair that shares more keys belongs to the group of the first.
+        mine = (x < y) & (keys[x, same.argmax(axis=1)] == key)
+        found.append(np.column_stack([agree[mine], x[mine], y[mine]]))
+    pairs = np.concatenate(found)
+    if not len(pairs):
+        return none, none
+    pairs = pairs[np.argsort(-pairs[:, 0], kind="stable")]
+    sets = _sets(group.column("packed"), np.unique(pairs[:, 1:]), size)
+    top = list(range(int(label.max()) + 1))
+
+    def root(at: int) -> int:
+        while top[at] != at:
+            top[at] = top[top[at]]
+            at = top[at]
+        return at
+
+    links = []
+    for _, x, y in pairs.tolist():
+        p, q = root(label[x]), root(label[y])
+        if p != q and _linked(sets[x], sets[y], percent):
+            top[p] = q
+            links.append((x, y))
+    return tuple(np.array(links, np.int64).reshape(-1, 2).T)
+
+
+def _sets(packed: pa.Array, rows: np.ndarray, size: int) -> dict[int, np.ndarray]:
+    """The sorted shingle set of each of these rows."""
+    sets, texts, held = {}, [], 0
+    for i, row in enumerate(rows.tolist()):
+        texts.append((row, _unpack(packed[row].as_py())))
+        held += len(texts[-1][1])
+        if held < CONFIRM_BYTES and i + 1 < len(rows):
+            continue
+        column = pa.array([t for _, t in texts], pa.large_binary())
+        found, begin, counts = shingles(wd.words(column, lower=True), size)
+        for (own, _), a, n in zip(texts, begin.tolist(), counts.tolist()):
+            sets[own] = np.sort(found[a : a + n])
+        texts, held = [], 0
+    return sets
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < percent * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    same = int(np.count_nonzero(b[at] == a))
+    return 100 * same >= percent * (len(a) + len(b) - same)
