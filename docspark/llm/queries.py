@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docspark.llm import neardup, quality
+from docspark.llm import neardup, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
@@ -23,6 +29,7 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
