@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from docspark.llm import words as wd
 from docspark.llm.components import components
@@ -114,13 +114,13 @@ def cluster(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TAB
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read.  The result has one row
     per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id that
-    links reach) and ``kept`` (whether it is that smallest one).
+    links reach), ``kept`` (whether it is that smallest one) and ``cls``.
 
     Defined results: a null or blank text has an empty set, is linked with nothing and is
     kept; equal texts are linked whatever their length; a row with a null id takes part in
     linking and is never the smallest, unless its component has only null ids, which then
     have a null component and are kept; rows that repeat a doc_id with the same text share
-    their verdict.
+    their verdict.  ``cls`` tells apart rows that repeat a doc_id with another text.
     """
     sketch, _ = staging.stage(sketches(docs, size, tables, rows), "sketches")
     classes = sketch.where("n_shingles > 0").groupBy("cls")
@@ -159,12 +159,36 @@ def cluster(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TAB
         .select(
             "doc_id",
             "n_shingles",
+            "cls",
             F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TABLES, rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: one of each group.
+
+    Rows without words all stay.  Of rows that repeat a doc_id and a text, one stays.
+    """
+    verdict = cluster(docs, size, percent, tables, rows).where("kept").groupBy("doc_id", "cls")
+    verdict = verdict.agg(F.max("n_shingles").alias("_n"))
+    verdict = verdict.select(F.col("doc_id").alias("_doc"), F.col("cls").alias("_own"), "_n")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = wd.texts_of(batch.column("text"))
+            made = [_sketch(texts.slice(i, j - i), size, 1, 1)["cls"] for i, j in wd.slices(texts)]
+            made = pa.concat_arrays([*made, pa.array([], pa.binary())])
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "_cls"])
+
+    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField("_cls", T.BinaryType())]))
+    same = F.col("_doc").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_cls") == F.col("_own"))
+    order = Window.partitionBy("_doc", "_cls").orderBy("text")
+    staying = marked.join(verdict, same).withColumn("_nth", F.row_number().over(order))
+    return staying.where("_nth = 1 OR _n = 0").select(*docs.columns)
+
+
 def _stars(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Every class of a table with the smallest class of that table."""
     filed = members.select("akey", "cls").join(classes.select("cls", F.explode("b").alias("bkey")), "cls")

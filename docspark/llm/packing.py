@@ -37,9 +37,9 @@ RANK_GROUPS = 512
 REMEMBERED = 400_000
 
 # Where one of these stands, a text is not cut at single spaces but encoded whole.
-_ODD = re.compile(r"^\s|\s$| \s|\s |[\u0085   -     　\x1c-\x1f]|<\|")
+_ODD = re.compile(r"^\s|\s$| \s|\s |[^\S \t\n\x0b\f\r]")
 # Beyond this the two libraries may know different Unicode versions.
-_FAR = re.compile(r"[^\x00-ɏ‐-‧€]")
+_FAR = re.compile("[^\x00-\u024f\u2010-\u2027\u20ac]")
 
 
 class Ids:

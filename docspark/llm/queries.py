@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import neardup, packing, quality
+from docspark.llm import decontaminate, linededup, neardup, packing, quality
+from docspark.sources import staging
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,19 +20,54 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    state, _ = staging.stage(linededup.references(docs), "references")
+    return linededup.judged(docs, state, min_docs=10).select(
+        "doc_id",
+        F.col("_n_lines").alias("n_lines"),
+        F.col("_n_dropped").alias("n_dropped"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.cluster(table(spark, sf_dir, "documents"), size=4, percent=80)
+    return neardup.cluster(table(spark, sf_dir, "documents"), size=4, percent=80).drop("cls")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": r"""
+        WITH lines AS (
+          SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
+        ), each AS (
+          SELECT doc_id, unnest(all_lines) AS line, generate_subscripts(all_lines, 1) AS nth FROM lines
+        ), keyed AS (
+          SELECT doc_id, nth, line, translate(
+            trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM each
+        ), frequent AS (
+          SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+        ), marked AS (
+          SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
+}
