@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import decontaminate, linededup, neardup, packing, quality
+from docspark.llm import decontaminate, licenses, linededup, neardup, packing, quality, warc
 from docspark.sources import staging
 
 
@@ -20,6 +20,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     state, _ = staging.stage(linededup.references(docs), "references")
@@ -44,12 +48,22 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.cluster(table(spark, sf_dir, "documents"), size=4, percent=80).drop("cls")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = staging.new_folder(spark, "archives")
+    index = warc.write(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc.read(index, folder, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_license_scans": op4_license_scans,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -70,4 +84,23 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
           sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op10_warc": """
+        WITH p AS (
+          SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages
+        ), f AS (
+          SELECT sha, min(page_id) AS first_id FROM p GROUP BY sha
+        ), groups AS (
+          SELECT p.*, first_id, list_transform(range(8), lambda i:
+            CAST('0x' || substr(p.sha, 5 * CAST(i AS INTEGER) + 1, 5) AS BIGINT)) AS parts
+          FROM p JOIN f ON p.sha = f.sha
+        ), letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS abc)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+          array_to_string(list_transform(parts, lambda v:
+            substr(abc, CAST((v >> 15) & 31 AS INTEGER) + 1, 1)
+            || substr(abc, CAST((v >> 10) & 31 AS INTEGER) + 1, 1)
+            || substr(abc, CAST((v >> 5) & 31 AS INTEGER) + 1, 1)
+            || substr(abc, CAST(v & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+          CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, url
+        FROM groups, letters""",
 }
