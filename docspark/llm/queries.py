@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import decontaminate, licenses, linededup, neardup, packing, quality, warc
+from docspark.llm import decontaminate, html, licenses, linededup, neardup, packing, quality, warc
 from docspark.sources import staging
 
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
@@ -57,6 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_license_scans": op4_license_scans,
     "op6_line_dedup": op6_line_dedup,
