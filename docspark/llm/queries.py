@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import decontaminate, html, licenses, linededup, neardup, packing, quality, warc
+from docspark.llm import decontaminate, html, licenses, linededup, neardup, packing, quality, substrings, warc
 from docspark.sources import staging
 
 
@@ -28,6 +28,11 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     state, _ = staging.stage(linededup.references(docs), "references")
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_license_scans": op4_license_scans,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
@@ -72,6 +78,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_substring_dedup": r"""
+        WITH w AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), windows AS (
+          SELECT doc_id, nth, array_to_string(ws[nth : nth + 12], ' ') AS run
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS nth FROM w WHERE len(ws) >= 13)
+        ), firsts AS (
+          SELECT run, min(doc_id) AS first_id FROM windows GROUP BY run
+        ), gone AS (
+          SELECT DISTINCT doc_id, nth + step AS nth
+          FROM (SELECT windows.doc_id, nth FROM windows JOIN firsts USING (run) WHERE first_id < windows.doc_id),
+            range(13) AS steps(step)
+        ), each AS (
+          SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS nth FROM w
+        ), kept AS (
+          SELECT e.doc_id, count(*) FILTER (g.nth IS NOT NULL) AS n_removed,
+            coalesce(string_agg(word, ' ' ORDER BY e.nth) FILTER (g.nth IS NULL), '') AS rest
+          FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.nth = g.nth GROUP BY e.doc_id
+        )
+        SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed,
+          sha256(coalesce(rest, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
     "op6_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
