@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import decontaminate, html, licenses, linededup, neardup, packing, quality, substrings, warc
+from docspark.llm import decontaminate, html, licenses, linededup, neardup, packing, quality, substrings, suffixtree, warc
 from docspark.sources import staging
 
 
@@ -19,6 +19,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
@@ -67,6 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_license_scans": op4_license_scans,
     "op5_substring_dedup": op5_substring_dedup,
