@@ -99,18 +99,21 @@ def _gram_counts(packed: DataFrame, depth: int) -> DataFrame:
 
 @dataclass
 class Tree:
-    """Retained contexts by length: ascending contexts with their counts, and (context, symbol)."""
+    """Retained contexts by length.
 
-    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    A level has ascending contexts, how often each was seen, how many different symbols came
+    next, and the ascending (context, symbol) pairs with their counts.
+    """
+
+    levels: list[tuple[np.ndarray, ...]]
     depth: int
-    prior: float
 
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """Log probability of the symbol of each (context, symbol) of full depth."""
         symbol, context = grams & 255, grams >> 8
         chance = np.full(len(grams), 1 / SYMBOLS)
         open_ = np.ones(len(grams), bool)
-        for k, (contexts, totals, pairs, counts) in enumerate(self.levels):
+        for k, (contexts, totals, kinds, pairs, counts) in enumerate(self.levels):
             if not len(contexts):
                 break
             own = context & ((1 << (8 * k)) - 1)
@@ -119,15 +122,14 @@ class Tree:
             pair = own << 8 | symbol
             where = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
             n = np.where(pairs[where] == pair, counts[where], 0)
-            # Add-one counts without a context; above, the shorter context counts as so many.
-            weight = SYMBOLS if k == 0 else self.prior
+            # Add-one counts without a context; above, the shorter context weighs as much as
+            # new symbols were met.
+            weight = SYMBOLS if k == 0 else kinds[at]
             chance = np.where(open_, (n + weight * chance) / (totals[at] + weight), chance)
         return np.log10(chance)
 
 
-def grow(
-    packed: DataFrame, depth: int, min_count: int, min_divergence: float, max_states: int, prior: float
-) -> Tree:
+def grow(packed: DataFrame, depth: int, min_count: int, min_divergence: float, max_states: int) -> Tree:
     """Count, test and collect the retained contexts."""
     grams, _ = staging.stage(_gram_counts(packed, depth), "grams")
     levels = [grams.select((F.col("gram").bitwiseAND((1 << (8 * (k + 1))) - 1)).alias("pair"), "n") for k in range(depth)]
@@ -169,8 +171,8 @@ def grow(
         pairs, counts = own["pair"].to_numpy(np.int64), own["n"].to_numpy(np.int64)
         contexts, begin = np.unique(pairs >> 8, return_index=True)
         totals = np.add.reduceat(counts, begin) if len(begin) else counts
-        tree.append((contexts, totals, pairs, counts))
-    return Tree(tree, depth, prior)
+        tree.append((contexts, totals, np.diff(begin, append=len(pairs)), pairs, counts))
+    return Tree(tree, depth)
 
 
 def _word_rows(bits: int):
@@ -222,15 +224,14 @@ def _sum_words(group: pa.Table) -> pa.Table:
 def score(
     docs: DataFrame,
     depth: int = 5,
-    min_count: int = 20,
-    min_divergence: float = 12.0,
+    min_count: int = 4,
+    min_divergence: float = 4.0,
     max_states: int = 60_000,
-    prior: float = 4.0,
 ) -> DataFrame:
     """Base and model scores of every document (doc_id, text)."""
     packed, total = pc.cut(docs)
     bits = pc.bucket_bits(total)
-    tree = grow(packed, depth, min_count, min_divergence, max_states, prior)
+    tree = grow(packed, depth, min_count, min_divergence, max_states)
     asked = packed.mapInArrow(_word_rows(bits), "bucket int, piece long, keys binary, counts binary")
     schema = "piece long, bucket int, counts binary, tokens long, words long"
     known, _ = staging.stage(asked.groupBy("bucket").applyInArrow(_sum_words, schema), "known")
