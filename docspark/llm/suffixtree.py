@@ -255,9 +255,10 @@ def score(
             h, first = piece.hashes(lower=True)
             _, at = np.unique(h, return_inverse=True)
             c = counts[at]
-            worth = np.concatenate([[0.0], np.cumsum(np.log10(c + 1.0))])
             tokens = np.diff(first) + 1
-            base = worth[first[1:]] - worth[first[:-1]] + np.log10(ends + 1.0) - tokens * np.log10(float(n + v + 1))
+            owner = np.repeat(np.arange(len(tokens)), np.diff(first))
+            worth = np.bincount(owner, np.log10(c + 1.0), len(tokens))
+            base = worth + np.log10(ends + 1.0) - tokens * np.log10(float(n + v + 1))
             texts = piece.texts.to_pylist()
             values = []
             for a, b in _runs(texts):
