@@ -22,8 +22,18 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; 0 when either vector is zero."""
-    return F.coalesce(F.try_divide(dot(a, b), norm(a) * norm(b)), F.lit(0.0))
+    """Cosine similarity; 0 when either vector is zero.
+
+    Null when either has a component that is null, infinite or not a number: the search
+    leaves such vectors out.
+    """
+    value = F.coalesce(F.try_divide(dot(a, b), norm(a) * norm(b)), F.lit(0.0))
+    return F.when(finite(a) & finite(b), value)
+
+
+def finite(a: Column) -> Column:
+    """Whether all components are numbers; null for a null vector."""
+    return F.forall(a, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
 
 
 def euclidean(a: Column, b: Column) -> Column:

@@ -2,31 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from docspark import schemas
 from docspark.functions import text as tx
 from docspark.operators.embed import Encoder, embed
-from docspark.sources import staging
 
 # Chunk order, which decides between equal scores.
 CHUNK_ORDER = ("filename", "section_pos", "chunk_index")
 # Scores are compared at this precision, so float noise cannot reorder equal chunks.
 SCORE_DIGITS = 9
-# One pass broadcasts at most this many queries and vector values, and no more queries
-# than let a task keep this many hits.
-BLOCK_QUERIES = 4_096
-BLOCK_VALUES = 8_000_000
-BLOCK_HITS = 20_480
+# The stated queries go to every task: at most this many vector values (400 MB).
+QUERY_VALUES = 50_000_000
+# A task scores its chunks against this many queries at a time.
+QUERY_TILE = 4_096
 # Chunk × query scores that a task holds at a time.
 TILE_SCORES = 2_000_000
 # Partial results are merged in this many groups per query before the last ranking.
 MERGE_GROUPS = 64
+# So many hits, which are keys and scores only, may be broadcast to fetch their chunks.
+BROADCAST_HITS = 500_000
 
 
 def top_k(
@@ -43,95 +43,76 @@ def top_k(
     ``queries`` has ``query_id``, ``embedding`` and, unless ``scope`` is None, the scope
     column: a query sees the chunks with the same value, or all of them if its value is
     null.  The result has ``query_id``, ``rank``, ``similarity_score`` and every chunk
-    column but the embedding.  Equal scores rank in ``order_by`` order.
+    column but the embedding.  Equal scores rank in ``order_by`` order; ``k`` of 0 gives no
+    rows.
 
-    Chunks and queries without an embedding are left out.
+    Chunks and queries without an embedding, or with a component that is null, infinite or
+    not a number, are left out.
 
-    Each task multiplies its Arrow batches with the matrix of all queries and keeps a
-    running top k, so what is shuffled is k rows per query and task, never chunk × query
-    pairs.  Queries travel in blocks of bounded size; with more than one block the chunks
-    are read once per block and the hits collect in a staged table.
+    The queries are collected, ``QUERY_VALUES`` at most.  Each task multiplies its Arrow
+    batches with their matrix, some queries at a time, and keeps a running top k of keys and
+    scores.  Only those are shuffled and ranked; the columns of the winners come from one
+    last join with the chunks, which does not read the embeddings.
     """
-    if scope is not None:
-        queries = queries.select("query_id", F.col(scope).alias("_scope"), "embedding")
-    else:
-        queries = queries.select("query_id", F.lit(None).cast("int").alias("_scope"), "embedding")
-    per_block = max(1, min(BLOCK_QUERIES, BLOCK_HITS // k))
-    rows = queries.take(per_block + 1)
-    blocks = _blocks(rows if len(rows) <= per_block else queries.toLocalIterator(), per_block)
-    block = next(blocks, [])
-    hits = _top_k_block(chunks, queries.schema, block, k, order_by, scope, embedding)
-    following = next(blocks, None)
-    if following is None:
-        return hits
-    path = staging.new_folder(chunks.sparkSession, "hits")
-    hits.write.parquet(path)
-    while following is not None:
-        hits = _top_k_block(chunks, queries.schema, following, k, order_by, scope, embedding)
-        hits.write.mode("append").parquet(path)
-        following = next(blocks, None)
-    return chunks.sparkSession.read.schema(hits.schema).parquet(path)
-
-
-def _blocks(rows: Iterable[Row], per_block: int) -> Iterator[list[Row]]:
-    """Cut the queries into blocks that are safe to broadcast."""
-    block: list[Row] = []
-    values = 0
-    for row in rows:
-        if row.embedding is None:
-            continue
-        if block and (len(block) == per_block or values + len(row.embedding) > BLOCK_VALUES):
-            yield block
-            block, values = [], 0
-        block.append(row)
-        values += len(row.embedding)
-    if block:
-        yield block
-
-
-def _top_k_block(
-    chunks: DataFrame,
-    query_schema: T.StructType,
-    block: list[Row],
-    k: int,
-    order_by: tuple[str, ...],
-    scope: str | None,
-    embedding: str,
-) -> DataFrame:
-    carried = [f for f in chunks.schema.fields if f.name != embedding]
-    id_field = query_schema["query_id"]
+    if k < 0:
+        raise ValueError("k must not be negative")
+    ids, matrix, scopes = _collected(queries, scope)
+    carried = [c for c in chunks.columns if c != embedding]
+    # Names the chunk; equal chunks are interchangeable.
+    chunk = F.struct(*order_by, F.xxhash64(*carried).alias("_row"))
+    keys = [*order_by, *([scope] if scope is not None and scope not in order_by else [])]
+    seen = chunks
+    if scope is not None and None not in scopes:
+        seen = seen.where(F.col(scope).isin(sorted(set(scopes))))
+    if k == 0 or not len(matrix):
+        seen = seen.where(F.lit(False))
+    narrow = seen.select(*keys, F.xxhash64(*carried).alias("_row"), embedding)
+    kinds = {f.name: f for f in narrow.schema.fields}
     out = T.StructType(
         [
             T.StructField("_q", T.IntegerType()),
-            *carried,
+            *[kinds[c] for c in (*order_by, "_row")],
             T.StructField("similarity_score", T.DoubleType()),
         ]
     )
-    scopes = {row._scope for row in block}
-    seen = chunks
-    if not block:
-        seen = chunks.where(F.lit(False))
-    elif scope is not None and None not in scopes:
-        seen = chunks.where(F.col(scope).isin(sorted(scopes)))
-
-    spark = chunks.sparkSession
-    matrix = np.array([row.embedding for row in block] or np.zeros((0, 0)), np.float64)
-    shipped = spark.sparkContext.broadcast((matrix, [row._scope for row in block]))
-    scored = seen.select(*[f.name for f in carried], embedding).mapInArrow(
-        _scorer(shipped, k, list(order_by), scope, embedding), out
-    )
+    shipped = chunks.sparkSession.sparkContext.broadcast((matrix, scopes))
+    scored = narrow.mapInArrow(_scorer(shipped, k, list(order_by), scope, embedding), out)
 
-    ids = spark.createDataFrame(
-        [(i, row.query_id) for i, row in enumerate(block)],
-        T.StructType([T.StructField("_q", T.IntegerType()), id_field]),
-    )
-    order = [F.desc("similarity_score"), *[F.col(c).asc_nulls_last() for c in order_by]]
+    order = [F.desc("similarity_score"), *[F.col(c).asc_nulls_last() for c in (*order_by, "_row")]]
     group = F.spark_partition_id() % MERGE_GROUPS
     merged = _best(scored.withColumn("_group", group), ["_q", "_group"], order, k)
     ranked = _best(merged.drop("_group"), ["_q"], order, k)
-    return ranked.join(F.broadcast(ids), "_q").select(
-        "query_id", "rank", *[f.name for f in carried], "similarity_score"
+    hits = ranked.select("_q", "rank", "similarity_score", F.struct(*order_by, "_row").alias("_chunk"))
+    if len(matrix) * k <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    found = chunks.select(*carried, chunk.alias("_own")).join(
+        hits, F.col("_own").eqNullSafe(F.col("_chunk"))
     )
+    # Equal chunks match each other's hits; every hit has one row.
+    found = found.dropDuplicates(["_q", "rank"])
+    id_field = queries.schema["query_id"]
+    names = chunks.sparkSession.createDataFrame(
+        list(enumerate(ids)), T.StructType([T.StructField("_q", T.IntegerType()), id_field])
+    )
+    return found.join(F.broadcast(names), "_q").select("query_id", "rank", *carried, "similarity_score")
+
+
+def _collected(queries: DataFrame, scope: str | None) -> tuple[list, np.ndarray, list]:
+    """Ids, vectors and scopes of the queries whose vectors are whole."""
+    value = F.col(scope) if scope is not None else F.lit(None).cast("int")
+    # The size is checked before anything is collected.
+    stated = queries.select("query_id", value.alias("scope"), F.col("embedding").cast("array<double>").alias("v"))
+    stated = stated.where("v IS NOT NULL").limit(QUERY_VALUES + 1)
+    rows = []
+    held = 0
+    for row in stated.toLocalIterator():
+        held += len(row.v)
+        if held > QUERY_VALUES:
+            raise ValueError(f"the queries have more than {QUERY_VALUES} vector values")
+        if all(x is not None and np.isfinite(x) for x in row.v):
+            rows.append((row.query_id, row.scope, np.array(row.v)))
+    matrix = np.array([r[2] for r in rows]) if rows else np.zeros((0, 0))
+    return [r[0] for r in rows], matrix, [r[1] for r in rows]
 
 
 def _best(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
@@ -139,35 +120,32 @@ def _best(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFram
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows at length one; a zero row stays.  Scaled first, so that squares don't overflow."""
+    rows = rows / np.maximum(np.abs(rows).max(axis=1, initial=0, keepdims=True), np.finfo(float).tiny)
+    length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
+
+
+def _first_k(q: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the first k rows of each query; ``q`` is sorted."""
+    start = np.concatenate([[True], q[1:] != q[:-1]])
+    first = np.maximum.accumulate(np.where(start, np.arange(len(q)), 0))
+    return np.arange(len(q)) - first < k
+
+
 def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding: str):
-    """The task side: batches of chunks in, the task's k best rows per query out."""
-    digits, tile_scores = SCORE_DIGITS, TILE_SCORES
-    sort_keys = [
-        ("_q", "ascending"),
-        ("similarity_score", "descending"),
-        *[(c, "ascending") for c in order_by],
-    ]
-
-    def unit(rows: np.ndarray) -> np.ndarray:
-        length = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-        return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
-
-    def first_k(q: np.ndarray) -> np.ndarray:
-        """Mask of the first k rows of each query; ``q`` is sorted."""
-        start = np.concatenate([[True], q[1:] != q[:-1]])
-        first = np.maximum.accumulate(np.where(start, np.arange(len(q)), 0))
-        return np.arange(len(q)) - first < k
-
-    def shrink(table: pa.Table) -> pa.Table:
-        table = table.take(pc.sort_indices(table, sort_keys=sort_keys))
-        return table.filter(pa.array(first_k(table.column("_q").to_numpy())))
+    """The task side: batches of chunks in, the task's k best keys per query out."""
+    digits, tile_scores, query_tile = SCORE_DIGITS, TILE_SCORES, QUERY_TILE
+    chunk_order = [(c, "ascending") for c in (*order_by, "_row")]
+    sort_keys = [("_q", "ascending"), ("similarity_score", "descending"), *chunk_order]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, query_scope = shipped.value
         n_queries = len(matrix)
         if n_queries == 0:
             return
-        matrix = unit(matrix)
+        matrix = _unit(matrix)
         of_scope: dict = {}
         for i, value in enumerate(query_scope):
             of_scope.setdefault(value, []).append(i)
@@ -176,13 +154,22 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
             value: np.sort(np.concatenate([every, np.array(own, np.int64)]))
             for value, own in of_scope.items()
         }
-        best = np.full((n_queries, k), -np.inf)
+        # The k-th best score of each query so far: nothing below it can win.
+        floor = np.full(n_queries, -np.inf)
         kept: list[pa.Table] = []
         n_kept = 0
 
-        def rows_of(
-            batch: pa.RecordBatch, ordered: np.ndarray
-        ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def shrink(table: pa.Table) -> pa.Table:
+            table = table.take(pc.sort_indices(table, sort_keys=sort_keys))
+            q = table.column("_q").to_numpy()
+            table = table.filter(pa.array(_first_k(q, k)))
+            q, value = table.column("_q").to_numpy(), table.column("similarity_score").to_numpy()
+            last = np.flatnonzero(np.append(q[1:] != q[:-1], True))
+            full = last[np.diff(last, prepend=-1) == k]
+            floor[q[full]] = value[full]
+            return table
+
+        def rows_of(batch: pa.RecordBatch, ordered: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """Pairs (rows in chunk order, the queries that see them)."""
             if scope is None:
                 yield ordered, np.arange(n_queries)
@@ -195,55 +182,51 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
                 if len(seeing):
                     yield ordered[code == c], seeing
 
+        def best_of(vectors: np.ndarray, rows: np.ndarray, seeing: np.ndarray):
+            """The scores of one tile that may win: (row, query, score)."""
+            block = np.round(vectors[rows] @ matrix[seeing].T, digits) + 0.0
+            for j in np.flatnonzero(block.max(axis=0) >= floor[seeing]):
+                column = block[:, j]
+                top = np.flatnonzero(column >= floor[seeing[j]])
+                if len(top) > k:
+                    # All above the k-th score, then the first ones equal to it.
+                    kth = np.partition(column[top], len(top) - k)[len(top) - k]
+                    above = top[column[top] > kth]
+                    equal = top[column[top] == kth][: k - len(above)]
+                    top = np.concatenate([above, equal])
+                yield rows[top], np.full(len(top), seeing[j], np.int32), column[top]
+
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column(embedding)))
-            if batch.num_rows == 0:
-                continue
             vectors = batch.column(embedding)
             flat = vectors.flatten().to_numpy(zero_copy_only=False)
             if len(flat) != batch.num_rows * matrix.shape[1]:
                 raise ValueError("chunk and query embeddings differ in length")
-            vectors = unit(flat.reshape(batch.num_rows, -1).astype(np.float64))
-            keys = [(c, "ascending") for c in order_by]
-            ordered = pc.sort_indices(batch, sort_keys=keys).to_numpy()
-            taken: list[np.ndarray] = []
-            of_query: list[np.ndarray] = []
-            scores: list[np.ndarray] = []
+            vectors = flat.reshape(batch.num_rows, -1).astype(np.float64)
+            whole = np.isfinite(vectors).all(axis=1)
+            if not whole.any():
+                continue
+            batch, vectors = batch.filter(pa.array(whole)), _unit(vectors[whole])
+            ordered = pc.sort_indices(batch, sort_keys=chunk_order).to_numpy()
+            found = []
             for rows, seeing in rows_of(batch, ordered):
-                seen_by = matrix[seeing].T
-                step = max(1, tile_scores // len(seeing))
-                for begin in range(0, len(rows), step):
-                    tile = rows[begin : begin + step]
-                    block = np.round(vectors[tile] @ seen_by, digits) + 0.0
-                    floor = best[seeing, 0]
-                    for j in np.flatnonzero(block.max(axis=0) >= floor):
-                        column = block[:, j]
-                        top = np.flatnonzero(column >= floor[j])
-                        if len(top) > k:
-                            # All above the k-th score, then the first ones equal to it.
-                            kth = np.partition(column[top], len(top) - k)[len(top) - k]
-                            above = top[column[top] > kth]
-                            equal = top[column[top] == kth][: k - len(above)]
-                            top = np.concatenate([above, equal])
-                        q = seeing[j]
-                        best[q] = np.sort(np.concatenate([best[q], column[top]]))[-k:]
-                        taken.append(tile[top])
-                        of_query.append(np.full(len(top), q, np.int32))
-                        scores.append(column[top])
-            if not taken:
+                for first in range(0, len(seeing), query_tile):
+                    part = seeing[first : first + query_tile]
+                    step = max(1, tile_scores // len(part))
+                    for begin in range(0, len(rows), step):
+                        found += best_of(vectors, rows[begin : begin + step], part)
+            if not found:
                 continue
-            row, q, value = map(np.concatenate, (taken, of_query, scores))
+            row, q, value = map(np.concatenate, zip(*found))
             place = np.empty(len(ordered), np.int64)
             place[ordered] = np.arange(len(ordered))
             top = np.lexsort((place[row], -value, q))
-            top = top[first_k(q[top])]
-            found = pa.Table.from_batches([batch]).drop_columns([embedding])
-            found = found.take(pa.array(row[top]))
-            found = found.add_column(0, "_q", pa.array(q[top]))
-            found = found.append_column("similarity_score", pa.array(value[top]))
-            kept.append(found)
-            n_kept += found.num_rows
-            if n_kept > 2 * k * n_queries:
+            top = top[_first_k(q[top], k)]
+            table = pa.Table.from_batches([batch]).select([*order_by, "_row"]).take(pa.array(row[top]))
+            table = table.add_column(0, "_q", pa.array(q[top]))
+            kept.append(table.append_column("similarity_score", pa.array(value[top])))
+            n_kept += table.num_rows
+            if n_kept > 2 * k * n_queries or not np.isfinite(floor).all():
                 kept = [shrink(pa.concat_tables(kept))]
                 n_kept = kept[0].num_rows
         if kept:
@@ -253,7 +236,11 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
 
 
 def embed_queries(queries: DataFrame, encoder: Encoder) -> DataFrame:
-    """The encoder applied to the query text, white space collapsed as in chunks."""
+    """The encoder applied to the query text, white space collapsed as in chunks.
+
+    Chunks are joined by single blanks; a question in the same form gets the vector that the
+    same words have in a chunk.
+    """
     plain = queries.withColumn("_plain", tx.collapse(F.col("query")))
     return embed(plain, encoder, "_plain").drop("_plain")
 

@@ -121,27 +121,50 @@ def test_top_k_equals_brute_force(spark, k):
     assert found(spark, chunks, queries, k) == brute_force(chunks, queries, k)
 
 
-@pytest.mark.parametrize("limit", [("BLOCK_QUERIES", 5), ("BLOCK_HITS", 9), ("BLOCK_VALUES", 90)])
-def test_top_k_in_many_blocks_tiles_and_batches(spark, monkeypatch, limit):
+def test_top_k_in_many_blocks_tiles_and_batches(spark, monkeypatch):
     chunks, queries = world(200, 23, 9)
     expected = brute_force(chunks, queries, 4)
-    monkeypatch.setattr(search, *limit)
+    monkeypatch.setattr(search, "QUERY_TILE", 5)
     monkeypatch.setattr(search, "TILE_SCORES", 7)
     monkeypatch.setattr(search, "MERGE_GROUPS", 3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
     try:
         assert found(spark, chunks, queries, 4) == expected
+        monkeypatch.setattr(search, "BROADCAST_HITS", 0)
+        assert found(spark, chunks, queries, 4) == expected
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_block_size_counts_vector_values():
-    class Row:
-        embedding = [0.0] * 10
+def test_queries_beyond_the_bound_are_an_error(spark, monkeypatch):
+    chunks, queries = world(20, 5, 1)
+    monkeypatch.setattr(search, "QUERY_VALUES", 19)
+    with pytest.raises(ValueError, match="vector values"):
+        found(spark, chunks, queries, 3)
+
+
+def test_k_of_zero_and_below(spark):
+    chunks, queries = world(20, 5, 1)
+    assert found(spark, chunks, queries, 0) == []
+    with pytest.raises(ValueError):
+        found(spark, chunks, queries, -1)
+
+
+@pytest.mark.parametrize("value", [float("inf"), float("-inf"), float("nan"), None])
+def test_broken_vectors_are_left_out(spark, value):
+    chunks, queries = world(60, 6, 2)
+    for i in (7, 31):  # in the middle of a batch
+        chunks[i]["embedding"] = [*chunks[i]["embedding"][:-1], value]
+    whole = [c for i, c in enumerate(chunks) if i not in (7, 31)]
+    assert found(spark, chunks, queries, 5, parts=1) == brute_force(whole, queries, 5)
+    queries[2]["embedding"] = [value, *queries[2]["embedding"][1:]]
+    assert found(spark, chunks, queries, 5) == brute_force(whole, queries[:2] + queries[3:], 5)
+
 
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(search, "BLOCK_VALUES", 25)
-        assert [len(b) for b in search._blocks([Row] * 5, 100)] == [2, 2, 1]
+def test_equal_chunks_each_have_a_hit(spark):
+    chunk = {"filename": "a", "section_pos": 1, "chunk_index": 0, "year": 2020, "embedding": [1.0, 0.0]}
+    queries = [{"query_id": 1, "year": None, "embedding": [1.0, 0.0]}]
+    assert [r[1] for r in found(spark, [dict(chunk) for _ in range(4)], queries, 3)] == [1, 2, 3]
 
 
 def test_queries_without_embedding_and_no_queries(spark):
