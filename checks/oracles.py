@@ -177,12 +177,13 @@ select round(floor(x / 0.05) * 0.05, 6) + 0.0 as x, round(floor(y / 0.05) * 0.05
 from points group by floor(x / 0.05) * 0.05, floor(y / 0.05) * 0.05, {by}"""
 
 
-def _topk(scope: str) -> str:
+def _topk(scope: str, where: str = "true") -> str:
     return f"""with {CENTERS},
 scored as (
   select q.label as query_id, c.vec_id, c.label,
          round(sum(c.x * q.m) / sqrt(sum(c.x * c.x) * sum(q.m * q.m)), 9) as score
-  from centers q join cells c on c.dim = q.dim {scope} group by 1, 2, 3)
+  from centers q join cells c on c.dim = q.dim {scope}
+  where {where} group by 1, 2, 3)
 select query_id,
        cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank,
        vec_id, label, round(score, 6) + 0.0 as similarity_score
@@ -217,6 +218,37 @@ from wide""",
     "table_round_trip": f"""with {WIDE}
 select filename, cik, year, section_1, section_1A, section_7, cast(null as varchar) as section_15
 from wide where year in (2019, 2020)""",
+    "scan_raw": f"""with {RAW}
+select cik, company_name, filing_type, year, text from raw where year = 2020 and doc_id % 3 <> 0""",
+    "scan_wide_extra_sections": f"""with {SEGMENTS}, wide_in as ({fx.FILINGS_WIDE})
+select filename, cik, cast(year as int) as year, section_2, upper(section_2) as section_9C,
+       cast(length(section_1) as varchar) as section_16, cast(null as varchar) as section_15
+from wide_in where cik = 'src3' and year in (2018, 2020)""",
+    "csv_many_files": f"""with {WIDE}
+select filename, cik, year, case when year = 2020 then section_2 end as section_2, section_8
+from wide""",
+    "years_sorted": f"""with {WIDE}
+select cast(row_number() over (order by year) as int) as place, year
+from (select distinct year from wide)""",
+    "embed_pandas": """
+select doc_id, cast(case when doc_id % 7 <> 0 then length(text) end as double) as n,
+       cast(case when doc_id % 7 <> 0 then length(text) - length(replace(text, ' ', '')) end
+            as double) as blanks,
+       case when doc_id % 7 <> 0 then cast(1 as double) end as one from documents""",
+    "pca_correlation": """
+select cast(i as int) as i, cast(j as int) as j,
+       case when i = j then cast(1 as double) else cast(0 as double) end as correlation,
+       true as falls
+from range(8) a(i), range(8) b(j)""",
+    "kmeans_nearest": """
+select count(*) as n_rows, 0 as n_not_nearest, count(distinct vec_id) as n_members
+from embeddings""",
+    "search_empty_year": f"""with {_wide_chunks()}, {ITEMS},
+{QUESTIONS.format(source="asked_items")}, {_hits(5, "questions")} select * from hits where false""",
+    "ask_one": f"""with {_wide_chunks()},
+questions as (select 1 as query_id, 'The and of with' as query, 2020 as year),
+{_hits(5, "questions")} select * from hits""",
+    "retrieval_job": f"{CHECKED} select * from checked",
     "stage_counts": f"""with {RAW}, {_sections()},
 chunks as ({_windows("sections", "doc_id, section_title", "section_text", 500)})
 select 'filings' as stage, count(*) as n_rows from raw
@@ -273,6 +305,7 @@ select vec_id, label,
        round(sum(x * m) / sqrt(sum(x * x) * sum(m * m)), 6) + 0.0 as similarity
 from cells join centers using (label, dim) group by vec_id, label""",
     "cosine_topk": _topk(""),
+    "cosine_topk_nonfinite": _topk("", "not (c.label in (3, 4, 5) and c.vec_id % 2 = 0)"),
     "cosine_topk_scoped": _topk("and c.label = q.label"),
     "semantic_search": f"""with {_wide_chunks()}, {ITEMS},
 {QUESTIONS.format(source="asked_items")}, {_hits(5, "questions")} select * from hits""",

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from docspark.functions import vectors as v
 from docspark.operators import chunk, cluster, evaluate, plots, profile, search, select
-from docspark.operators.embed import embed, hash_bow, with_vector
+from docspark.operators.embed import Encoder, embed, hash_bow, with_vector
 from docspark.operators.sections import extract_sections
 from docspark.plans.explore import explore
 from docspark.plans.prepare import prepare
-from docspark.plans.retrieve import index_chunks
+from docspark.plans.retrieve import ask, index_chunks, retrieve
 from docspark.sources import filings as src, staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +101,42 @@ def table_round_trip(spark, sf):
     )
 
 
+@query
+def scan_raw(spark, sf):
+    """Filings written by year and split, read with both."""
+    path = staging.new_folder(spark, "raw")
+    part = F.when(F.col("doc_id") % 3 == 0, "test").otherwise("train")
+    rows = fx.filings_raw(spark, sf).withColumn("split", part)
+    rows.drop("doc_id").write.partitionBy("year", "split").parquet(path)
+    return src.read_raw(spark, path, year=2020, split="train")
+
+
+@query
+def scan_wide_extra_sections(spark, sf):
+    """Sections that are not declared are kept, numbers become text."""
+    path = staging.new_folder(spark, "wide")
+    rows = fx.filings_wide(spark, sf).withColumn("section_9C", F.upper("section_2"))
+    rows = rows.withColumn("section_16", F.length("section_1")).withColumn("year", F.col("year").cast("long"))
+    src.write_table(rows, path)
+    found = src.read_wide(spark, path, cik="src3", years=[2018, 2020])
+    return found.select("filename", "cik", "year", "section_2", "section_9C", "section_16", "section_15")
+
+
+@query
+def csv_many_files(spark, sf):
+    """Two files whose columns differ in order and number."""
+    path = staging.new_folder(spark, "files")
+    rows = fx.filings_wide(spark, sf).select("filename", "cik", "year", "section_2", "section_8")
+    src.write_csv(rows.where("year = 2020"), f"{path}/a")
+    src.write_csv(rows.where("year <> 2020").select("section_8", "year", "cik", "filename"), f"{path}/b")
+    return src.read_csv(spark, path)
+
+
+@query
+def years_sorted(spark, sf):
+    return profile.years_sorted(wide(spark, sf))
+
+
 @query
 def stage_counts(spark, sf):
     filings, n_filings = staging.observed(fx.filings_raw(spark, sf), "filings")
@@ -172,6 +210,26 @@ def embed_shape(spark, sf):
     return profile.embedding_shape(index_chunks(wide(spark, sf), hash_bow()))
 
 
+def letter_counts() -> Encoder:
+    """A model of one's own: the characters, the blanks and a constant."""
+
+    def load():
+        return lambda texts: np.array([[len(t), t.count(" "), 1] for t in texts], np.float32)
+
+    return Encoder(load, batch_size=32)
+
+
+@query
+def embed_pandas(spark, sf):
+    """The user's model in batches of 32; some texts are null."""
+    text = F.when(F.col("doc_id") % 7 != 0, F.col("text"))
+    rows = fx.documents(spark, sf).select("doc_id", text.alias("text"))
+    vector = F.col("embedding")
+    return embed(rows, letter_counts(), "text").select(
+        "doc_id", *[vector[i].cast("double").alias(c) for i, c in enumerate(("n", "blanks", "one"))]
+    )
+
+
 @query
 def embed_questions(spark, sf):
     items = fx.items(spark, sf).select(F.col("item_id").alias("query_id"), "query", "year")
@@ -212,6 +270,36 @@ def pca_lengths(spark, sf):
     return rotated.select("vec_id", F.round(length, 6).alias("length"))
 
 
+@query
+def pca_correlation(spark, sf):
+    """Components don't correlate, and the first ones vary most."""
+    vectors = with_vector(embeddings(spark, sf))
+    scaled = cluster.fit_scaler(vectors).transform(vectors)
+    reduced = cluster.fit_pca(scaled, 8).transform(scaled)
+    matrix = Correlation.corr(reduced, "pca_features_50").first()[0].toArray()
+    values = vector_to_array("pca_features_50")
+    spread = reduced.select(*[F.var_samp(values[i]) for i in range(8)]).first()
+    falls = [i == 0 or spread[i] <= spread[i - 1] for i in range(8)]
+    rows = [(i, j, round(float(matrix[i, j]), 6) + 0.0, falls[i]) for i in range(8) for j in range(8)]
+    return spark.createDataFrame(rows, "i INT, j INT, correlation DOUBLE, falls BOOLEAN")
+
+
+@query
+def kmeans_nearest(spark, sf):
+    """Every row is in the cluster of its nearest center; all rows are in one."""
+    rows = embeddings(spark, sf)
+    model = cluster.fit_clusters(rows)
+    centers = cluster.center_table(model.kmeans, rows).select(F.collect_list("center").alias("centers"))
+    placed = model.apply(rows).crossJoin(F.broadcast(centers))
+    point = vector_to_array("pca_features_2d")
+    nearest = F.array_min(F.transform("centers", lambda c: v.euclidean(point, c)))
+    return placed.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("distance_to_center") > nearest + 1e-5).alias("n_not_nearest"),
+        F.countDistinct("vec_id").alias("n_members"),
+    )
+
+
 @query
 def kmeans7(spark, sf):
     clustered = cluster.process_and_cluster(embeddings(spark, sf))
@@ -220,28 +308,25 @@ def kmeans7(spark, sf):
     )
 
 
-def labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, int | None]:
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """The label as cluster, its mean vector as center: no fit is involved."""
     rows = embeddings(spark, sf).withColumnRenamed("label", "prediction")
-    few = cluster.few_clusters(rows)
-    centers = cluster.mean_centers(rows)
-    return cluster.center_distance(rows, centers, "embedding", clusters=few), few
+    return cluster.center_distance(rows, cluster.mean_centers(rows), "embedding")
 
 
 def flagged(spark: SparkSession, sf: str) -> DataFrame:
-    rows, few = labelled(spark, sf)
-    return cluster.flag_outliers(rows, clusters=few)
+    return cluster.flag_outliers(labelled(spark, sf))
 
 
 @query
 def center_distance(spark, sf):
-    rows, _ = labelled(spark, sf)
+    rows = labelled(spark, sf)
     return rows.select("vec_id", "prediction", rounded("distance_to_center", 4))
 
 
 @query
 def cluster_stats(spark, sf):
-    rows, _ = labelled(spark, sf)
+    rows = labelled(spark, sf)
     return cluster.cluster_stats(rows).select(
         "prediction", rounded("mean_dist", 4), rounded("std_dist", 4)
     )
@@ -277,8 +362,6 @@ def explore_counts(spark, sf):
 def cosine_to_center(spark, sf):
     rows = embeddings(spark, sf)
     centers = cluster.mean_centers(rows, "label")
-    if cluster.few_clusters(rows, "label") is not None:
-        centers = F.broadcast(centers)
     score = v.cosine(v.doubles(F.col("embedding")), F.col("center"))
     return rows.join(centers, "label").select(
         "vec_id", "label", F.round(score, 6).alias("similarity")
@@ -313,6 +396,19 @@ def cosine_topk_scoped(spark, sf):
     return hits.select("query_id", "rank", "vec_id", "label", rounded("similarity_score", 6))
 
 
+@query
+def cosine_topk_nonfinite(spark, sf):
+    """Vectors with an infinite, missing or undefined component are left out."""
+    broken = [(3, F.lit(float("inf"))), (4, F.lit(None)), (5, F.lit(float("nan")))]
+    vector = F.col("embedding")
+    for label, value in broken:
+        spoilt = F.concat(F.array(value.cast("float")), F.slice("embedding", 2, 10_000))
+        vector = F.when((F.col("label") == label) & (F.col("vec_id") % 2 == 0), spoilt).otherwise(vector)
+    rows = embeddings(spark, sf).withColumn("embedding", vector)
+    hits = search.top_k(rows, centers_as_queries(spark, sf), order_by=("vec_id",), scope=None)
+    return hits.select("query_id", "rank", "vec_id", "label", rounded("similarity_score", 6))
+
+
 def search_hits(spark: SparkSession, sf: str) -> DataFrame:
     chunks = index_chunks(wide(spark, sf), hash_bow())
     items = fx.items(spark, sf).select(F.col("item_id").alias("query_id"), "query", "year")
@@ -324,6 +420,25 @@ def semantic_search(spark, sf):
     return search_hits(spark, sf).withColumn("similarity_score", rounded("similarity_score", 6))
 
 
+@query
+def search_empty_year(spark, sf):
+    chunks = index_chunks(wide(spark, sf), hash_bow())
+    return search.search_one(chunks, "the and of", 1999, hash_bow())
+
+
+@query
+def ask_one(spark, sf):
+    chunks = index_chunks(wide(spark, sf), hash_bow())
+    hits = ask(chunks, "  The and\nof with ", 2020, hash_bow())
+    return hits.withColumn("similarity_score", rounded("similarity_score", 6))
+
+
+@query
+def retrieval_job(spark, sf):
+    """The written job over a year; its checked items."""
+    return retrieve(wide(spark, sf), fx.items(spark, sf), hash_bow()).checked
+
+
 @query
 def validation_items(spark, sf):
     return evaluate.validation_items(wide(spark, sf), fx.items(spark, sf))
@@ -332,7 +447,7 @@ def validation_items(spark, sf):
 @query
 def retrieval_eval(spark, sf):
     filings = wide(spark, sf)
-    kept = evaluate.validation_items(filings, fx.items(spark, sf))
+    kept, _ = staging.stage(evaluate.validation_items(filings, fx.items(spark, sf)), "items")
     return evaluate.evaluate_retrieval(index_chunks(filings, hash_bow()), kept, hash_bow())
 
 

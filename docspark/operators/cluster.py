@@ -15,10 +15,8 @@ from docspark.operators.embed import with_vector
 from docspark.params import Params
 from docspark.sources.staging import stage
 
-# More clusters than this are joined without a broadcast.
-BROADCAST_CLUSTERS = 10_000
-# Points per partition of the narrow table that k-means iterates over.
-FIT_ROWS = 1_000_000
+# Partitions of the narrow table that k-means iterates over; the start points depend on it.
+FIT_PARTITIONS = 16
 
 
 def fit_scaler(
@@ -58,13 +56,14 @@ def fit_kmeans(
     seed: int = 1,
     column: str = "pca_features_2d",
     identity: str = "embedding",
+    partitions: int = FIT_PARTITIONS,
 ) -> KMeansModel:
     """K-means on the two-dimensional points, the same on every cluster.
 
     Copies are counted first (128 hash bits of ``identity`` name a point, combined per
     task) and become one weighted point, so a large group of copies is one row.  Start
     points depend on which rows share a partition; the layout therefore follows a rule
-    that knows only the data: a partition count from the row count, a hash, a sort.
+    that is the same at every size: ``partitions`` of them, a hash, a sort.
     """
     xy = vector_to_array(column)
     points = (
@@ -77,8 +76,8 @@ def fit_kmeans(
         .groupBy("h1", "h2")
         .agg(F.first("x").alias("x"), F.first("y").alias("y"), F.count(F.lit(1)).alias("n"))
     )
-    points, rows = stage(points, "points")
-    laid_out = points.repartition(max(1, -(-rows // FIT_ROWS)), "h1", "h2")
+    points, _ = stage(points, "points")
+    laid_out = points.repartition(partitions, "h1", "h2")
     laid_out = laid_out.sortWithinPartitions("h1", "h2").select(
         array_to_vector(F.array("x", "y")).alias(column), F.col("n").cast("double").alias("n")
     )
@@ -99,16 +98,8 @@ def mean_centers(
     return df.groupBy(cluster).agg(mean.alias("center"))
 
 
-def few_clusters(df: DataFrame, cluster: str = "prediction") -> int | None:
-    """How many clusters there are, or None when too many to broadcast."""
-    rows = df.select(cluster).distinct().limit(BROADCAST_CLUSTERS + 1).count()
-    return rows if rows <= BROADCAST_CLUSTERS else None
-
-
-def _join_small(df: DataFrame, side: DataFrame, on: str, rows: int | None) -> DataFrame:
-    if rows is not None and rows <= BROADCAST_CLUSTERS:
-        side = F.broadcast(side)
-    return df.join(side, on)
+def _join_clusters(df: DataFrame, side: DataFrame, few: bool) -> DataFrame:
+    return df.join(F.broadcast(side) if few else side, "prediction")
 
 
 def center_distance(
@@ -116,19 +107,18 @@ def center_distance(
     centers: DataFrame,
     features: str = "pca_features_2d",
     *,
-    clusters: int | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Add ``distance_to_center``, the Euclidean distance to the row's own center.
 
-    ``features`` is an ML vector or a number array.  ``clusters`` is the known number of
-    centers (see :func:`few_clusters`); without it no side is broadcast by hand and the
-    join is left to the adaptive planner.
+    ``features`` is an ML vector or a number array.  ``few`` says that the centers are those
+    of a fitted model, which are few; otherwise the join is left to the adaptive planner.
     """
     values = F.col(features)
     if df.schema[features].dataType.typeName() != "array":
         values = vector_to_array(values)
     distance = v.euclidean(v.doubles(values), F.col("center")).cast("float")
-    joined = _join_small(df, centers, "prediction", clusters)
+    joined = _join_clusters(df, centers, few)
     return joined.withColumn("distance_to_center", distance).drop("center")
 
 
@@ -140,10 +130,10 @@ def cluster_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def flag_outliers(df: DataFrame, stds: float = 2.0, *, clusters: int | None = None) -> DataFrame:
+def flag_outliers(df: DataFrame, stds: float = 2.0, *, few: bool = False) -> DataFrame:
     """Add the cluster statistics and ``is_outlier``; a cluster of one has no flag."""
     limit = F.col("mean_dist") + F.lit(stds) * F.col("std_dist")
-    joined = _join_small(df, cluster_stats(df), "prediction", clusters)
+    joined = _join_clusters(df, cluster_stats(df), few)
     return joined.withColumn("is_outlier", F.col("distance_to_center") > limit)
 
 
@@ -159,10 +149,27 @@ class ClusterModel:
         return first_two(self.pca.transform(self.scaler.transform(with_vector(df))))
 
     def apply(self, df: DataFrame, stds: float = 2.0) -> DataFrame:
-        k = len(self.kmeans.clusterCenters())
+        """Cluster, distance, cluster statistics and outlier flag of every row.
+
+        The embeddings are transformed once: the statistics are taken from a written table
+        of clusters and distances.
+        """
         clustered = self.kmeans.transform(self.reduce(df))
-        far = center_distance(clustered, center_table(self.kmeans, df), clusters=k)
-        return flag_outliers(far, stds, clusters=k)
+        far = center_distance(clustered, center_table(self.kmeans, df), few=True)
+        far, _ = stage(far, "clustered")
+        return flag_outliers(far, stds, few=True)
+
+    def save(self, path: str) -> None:
+        for name in ("scaler", "pca", "kmeans"):
+            getattr(self, name).save(f"{path}/{name}")
+
+    @classmethod
+    def load(cls, path: str) -> ClusterModel:
+        return cls(
+            StandardScalerModel.load(f"{path}/scaler"),
+            PCAModel.load(f"{path}/pca"),
+            KMeansModel.load(f"{path}/kmeans"),
+        )
 
 
 def fit_clusters(df: DataFrame, params: Params = Params()) -> ClusterModel:

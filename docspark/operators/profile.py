@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docspark.functions.text import has_text
 
@@ -45,6 +45,16 @@ def corpus_values(df: DataFrame) -> DataFrame:
     )
 
 
+def years_sorted(df: DataFrame) -> DataFrame:
+    """The distinct years with their place in ascending order, from 1; null years are left out.
+
+    The years are few by nature; they are made distinct per task before they are sorted.
+    """
+    years = df.select("year").where(F.col("year").isNotNull()).distinct()
+    place = F.row_number().over(Window.orderBy("year"))
+    return years.select(place.alias("place"), "year").orderBy("place")
+
+
 def section_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("section_")]
 

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-# A list of company ids this short (tens of megabytes at most) may go to every executor.
-BROADCAST_COMPANIES = 100_000
-# More distinct years than this are joined without a broadcast.
-BROADCAST_YEARS = 1_000
+from pyspark.sql import DataFrame, functions as F
 
 
 def first_companies(df: DataFrame, n: int = 5) -> DataFrame:
@@ -15,23 +10,19 @@ def first_companies(df: DataFrame, n: int = 5) -> DataFrame:
     return df.where(F.col("cik").isNotNull()).select("cik").distinct().orderBy("cik").limit(n)
 
 
-def keep_companies(df: DataFrame, companies: DataFrame, *, at_most: int | None = None) -> DataFrame:
+def keep_companies(df: DataFrame, companies: DataFrame) -> DataFrame:
     """Filings of the given companies.
 
-    Only a list known to be short is broadcast; any other is left to the adaptive
-    planner, which sees its real size and splits hot companies.
+    The list may be long: the adaptive planner sees its real size and splits hot companies.
     """
-    companies = companies.select("cik")
-    if at_most is not None and at_most <= BROADCAST_COMPANIES:
-        companies = F.broadcast(companies)
-    return df.join(companies, "cik", "left_semi")
+    return df.join(companies.select("cik"), "cik", "left_semi")
 
 
 def select_companies(df: DataFrame, n: int = 5, ciks: list[str] | None = None) -> DataFrame:
-    """Filings of a fixed list of companies, or of the first ``n``."""
+    """Filings of a fixed list of companies, or of the first ``n``, a small number."""
     if ciks is not None:
         return df.where(F.col("cik").isin([str(c) for c in ciks]))
-    return keep_companies(df, first_companies(df, n), at_most=n)
+    return keep_companies(df, F.broadcast(first_companies(df, n)))
 
 
 def in_year(df: DataFrame, year: int) -> DataFrame:
@@ -41,26 +32,10 @@ def in_year(df: DataFrame, year: int) -> DataFrame:
 def first_per_year(df: DataFrame, order_by: str = "filename") -> DataFrame:
     """One filing per year, the first by name; an empty year gives no row.
 
-    The first names come from a scan of two columns, pre-aggregated per task.  While the
-    years are few, which is checked, the names go into the scan as a filter: a row group
-    that does not hold the smallest name of its year is skipped by its statistics, and the
-    other wide rows are never sorted or shuffled.  The window afterwards sees the filings
-    that share a first name and keeps one of them.
+    Filings without a name come last, equal names go by the other columns.  The smallest row
+    of each year is an aggregate: every task brings one row per year to the shuffle.
     """
-    first = (
-        df.where(F.col("year").isNotNull())
-        .groupBy("year")
-        .agg(F.min(order_by).alias(order_by))
-    )
-    few = first.limit(BROADCAST_YEARS + 1).collect()
-    if len(few) <= BROADCAST_YEARS:
-        first = F.broadcast(df.sparkSession.createDataFrame(few, first.schema))
-        df = df.where(F.col(order_by).isin([row[order_by] for row in few]))
     rest = [c for c in df.columns if c not in ("year", order_by)]
-    w = Window.partitionBy("year").orderBy(order_by, *rest)
-    return (
-        df.join(first, ["year", order_by], "left_semi")
-        .withColumn("_n", F.row_number().over(w))
-        .where(F.col("_n") == 1)
-        .drop("_n")
-    )
+    smallest = F.min(F.struct(F.col(order_by).isNull().alias("unnamed"), order_by, *rest)).alias("row")
+    first = df.where(F.col("year").isNotNull()).groupBy("year").agg(smallest)
+    return first.select(*[F.col(c) if c == "year" else F.col("row")[c].alias(c) for c in df.columns])

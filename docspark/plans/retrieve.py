@@ -45,7 +45,8 @@ def retrieve(
     The returned chunks are a written table: pass them to :func:`ask` for more questions.
     """
     chunks, n_chunks = staging.stage(index_chunks(filings, encoder, params), "chunks")
-    kept = validation_items(filings, items, year)
+    # The search and the check both read the kept items.
+    kept, _ = staging.stage(validation_items(filings, items, year), "items")
     checked = evaluate_retrieval(chunks, kept, encoder, params.eval_top_k)
     return Retrieval(chunks, n_chunks, kept, checked, summarise(checked))
 

@@ -89,7 +89,7 @@ def test_process_and_cluster(spark):
 
 
 def test_clusters_do_not_depend_on_the_input_layout(spark, monkeypatch):
-    monkeypatch.setattr(cluster, "FIT_ROWS", 50)
+    monkeypatch.setattr(cluster, "FIT_PARTITIONS", 6)
     matrix = blobs(300, seed=2)
     found = []
     for parts in (1, 3, 8):
@@ -114,9 +114,9 @@ def distances(spark):
     return spark.createDataFrame(rows, "prediction INT, distance_to_center FLOAT")
 
 
-@pytest.mark.parametrize("clusters", [None, 2])
-def test_flags_and_the_cluster_of_one(spark, clusters):
-    rows = cluster.flag_outliers(distances(spark), clusters=clusters).collect()
+@pytest.mark.parametrize("few", [False, True])
+def test_flags_and_the_cluster_of_one(spark, few):
+    rows = cluster.flag_outliers(distances(spark), few=few).collect()
     assert [r.is_outlier for r in rows if r.prediction == 1] == [None]
     assert [r.distance_to_center for r in rows if r.is_outlier] == [9.0]
     strict = cluster.flag_outliers(distances(spark), stds=100.0).where("is_outlier").count()
@@ -124,18 +124,12 @@ def test_flags_and_the_cluster_of_one(spark, clusters):
 
 
 def test_only_known_cluster_counts_are_broadcast(spark):
-    known = cluster.flag_outliers(distances(spark), clusters=7)
+    known = cluster.flag_outliers(distances(spark), few=True)
     unknown = cluster.flag_outliers(distances(spark))
     assert "strategy=broadcast" in known._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in unknown._jdf.queryExecution().analyzed().toString()
 
 
-def test_few_clusters(spark, monkeypatch):
-    assert cluster.few_clusters(distances(spark)) == 2
-    monkeypatch.setattr(cluster, "BROADCAST_CLUSTERS", 1)
-    assert cluster.few_clusters(distances(spark)) is None
-
-
 def test_mean_centers_and_distance(spark):
     df = spark.createDataFrame(
         [(0, [0.0, 0.0]), (0, [2.0, 0.0]), (1, [5.0, 5.0])], "prediction INT, embedding ARRAY<FLOAT>"
@@ -149,12 +143,10 @@ def test_mean_centers_and_distance(spark):
 
 
 def test_saved_models_give_the_same_clusters(spark, tmp_path):
-    from pyspark.ml.clustering import KMeansModel
-
     df = embedded(spark, blobs())
     model = cluster.fit_clusters(df, Params(clusters=3))
-    model.kmeans.save(str(tmp_path / "kmeans"))
-    again = cluster.ClusterModel(model.scaler, model.pca, KMeansModel.load(str(tmp_path / "kmeans")))
+    model.save(str(tmp_path / "model"))
+    again = cluster.ClusterModel.load(str(tmp_path / "model"))
     one = {r.id: r.prediction for r in model.apply(df).collect()}
     assert one == {r.id: r.prediction for r in again.apply(df).collect()}
 

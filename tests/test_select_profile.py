@@ -49,19 +49,11 @@ def test_first_per_year_takes_one_of_equal_names(filings):
     assert select.first_per_year(filings.where("year = 1900")).count() == 0
 
 
-def test_first_per_year_beyond_the_broadcast_bound(filings, monkeypatch):
-    expected = sorted(map(str, select.first_per_year(filings).collect()))
-    monkeypatch.setattr(select, "BROADCAST_YEARS", 1)
-    df = select.first_per_year(filings)
-    assert "hint" not in df._jdf.queryExecution().analyzed().toString().lower()
-    assert sorted(map(str, df.collect())) == expected
-
-
-def test_first_names_are_pushed_to_the_scan(spark, filings, tmp_path):
-    filings.write.parquet(str(tmp_path / "filings"))
-    df = select.first_per_year(spark.read.parquet(str(tmp_path / "filings")))
-    assert "In(filename, [a.htm,c.htm])" in df._jdf.queryExecution().toString()
-    assert df.count() == 2
+def test_first_per_year_of_nameless_filings(spark):
+    rows = [(None, 2019, "b"), (None, 2019, "a"), ("z", 2020, "c"), (None, 2020, "a")]
+    df = spark.createDataFrame(rows, "filename STRING, year INT, cik STRING")
+    found = sorted((r.year, r.filename, r.cik) for r in select.first_per_year(df).collect())
+    assert found == [(2019, None, "a"), (2020, "z", "c")]
 
 
 def test_corpus_shape_and_values(filings):

@@ -30,6 +30,39 @@ def test_wide_scan_prunes_years_and_columns_and_pushes_the_company(spark, wide_p
     assert df.count() == 10
 
 
+@pytest.mark.parametrize("kind", ["BIGINT", "STRING"])
+def test_filters_reach_the_scan_in_the_type_of_the_file(spark, tmp_path, kind):
+    rows = [(f"f{i}", i % 3, 2018 + i % 3, "N/A") for i in range(12)]
+    df = spark.createDataFrame(rows, "filename STRING, cik BIGINT, year BIGINT, section_1 STRING")
+    path = str(tmp_path / kind)
+    df.withColumn("cik", F.col("cik").cast(kind)).write.parquet(path)
+    found = src.missing_to_null(src.read_wide(spark, path, cik=1, years=[2019]))
+    assert "EqualTo(cik,1)" in plan_of(found) and "EqualTo(year,2019)" in plan_of(found)
+    assert {(r.cik, r.year, r.section_1) for r in found.collect()} == {("1", 2019, None)}
+    assert src.read_wide(spark, path, cik="01").count() == 0
+
+
+def test_all_sections_are_kept_and_needed_columns_demanded(spark, tmp_path):
+    df = spark.createDataFrame([("f", "1", 2020, "a", 7)], "filename STRING, cik STRING, year INT, section_9C STRING, section_16 INT")
+    df.write.parquet(str(tmp_path / "wide"))
+    row = src.read_wide(spark, str(tmp_path / "wide")).first()
+    assert (row.section_9C, row.section_16, row.section_1) == ("a", "7", None)
+    df.drop("year").write.parquet(str(tmp_path / "lacking"))
+    with pytest.raises(ValueError, match="year"):
+        src.read_wide(spark, str(tmp_path / "lacking"))
+    df.withColumnRenamed("section_9C", "body").write.parquet(str(tmp_path / "raw"))
+    with pytest.raises(ValueError, match="text"):
+        src.read_raw(spark, str(tmp_path / "raw"))
+
+
+def test_csv_files_of_different_column_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("filename,cik,year,section_7\nf,1,2019,seven\n")
+    (tmp_path / "b.csv").write_text("section_7,section_9C,year,cik,filename\nseven2,nine,2020,2,g\n")
+    rows = src.read_csv(spark, str(tmp_path)).orderBy("filename").collect()
+    found = [(r.filename, r.cik, r.year, r.section_7, r.section_9C) for r in rows]
+    assert found == [("f", "1", 2019, "seven", None), ("g", "2", 2020, "seven2", "nine")]
+
+
 def test_wide_scan_without_filters_fills_absent_sections(spark, wide_path):
     df = src.read_wide(spark, wide_path)
     assert set(df.columns) == set(schemas.WIDE_FILING.names)
