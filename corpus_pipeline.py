@@ -23,7 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten documents or more hold go; the documents stay."""
     state, _ = staging.stage(linededup.references(docs), "references")
     cleaned = linededup.judged(docs, state, min_docs=10)
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return cleaned.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docspark.llm import words as wd
 
@@ -163,6 +163,10 @@ def _changed(state: DataFrame, change: DataFrame) -> DataFrame:
     return both.groupBy("key").agg(F.sum("n_docs").alias("n_docs")).where("n_docs > 0")
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
 def dropped_lines(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """The numbers of the lines that go, as (doc_id, text_hash, lines), for rows that lose any.
 
@@ -179,12 +183,11 @@ def dropped_lines(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_cha
             for i, j in wd.slices(texts):
                 part = texts.slice(i, j - i)
                 owner, place, digest = _digests(part, min_chars)
-                same = _hash(*wd.buffers(part), 1).view(np.int64)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "key": _binary(digest),
                         "doc_id": batch.column("doc_id").slice(i, j - i).take(pa.array(owner)),
-                        "text_hash": pa.array(same[owner]),
+                        "text_hash": batch.column("text_hash").slice(i, j - i).take(pa.array(owner)),
                         "line": pa.array(place),
                     }
                 )
@@ -210,7 +213,7 @@ def dropped_lines(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_cha
                 hit[maybe] = [key in exact for key in keys[maybe].tolist()]
             yield batch.filter(pa.array(hit)).select(["doc_id", "text_hash", "line"])
 
-    asked = docs.select(F.col("doc_id").cast("long"), "text")
+    asked = docs.select(F.col("doc_id").cast("long"), "text", _text_hash())
     asked = asked.mapInArrow(probe, "key binary, doc_id long, text_hash long, line int")
     salt = F.pmod(F.xxhash64("doc_id", "line"), F.lit(SALTS)).cast("int")
     asked = asked.select(shard, salt.alias("salt"), F.lit(1).alias("kind"), "key", "doc_id", "text_hash", "line")
@@ -226,31 +229,31 @@ def dropped_lines(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_cha
     return hits.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("lines"))
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
 def judged(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """All columns of ``docs`` with the lines that stay as ``text``, plus the numbers of lines.
+    """Every document with the lines that stay.
 
-    The added columns are ``_n_lines`` and ``_n_dropped``.
+    The result has ``row``, all columns of ``docs`` as they were, ``kept``, the remaining
+    lines, ``n_lines`` and ``n_dropped``.
     """
     gone = dropped_lines(docs, state, min_docs, min_chars)
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), F.col("lines").alias("_gone"))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = wd.texts_of(batch.column("text"))
-            made = pa.array(_hash(*wd.buffers(texts), 1).view(np.int64)) if len(texts) else pa.array([], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "_text"])
-
-    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField("_text", T.LongType())]))
-    same = F.col("_doc").eqNullSafe(F.col("doc_id").cast("long")) & (marked["_text"] == gone["_text"])
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    none = F.array().cast("array<int>")
-    both = marked.join(gone, same, "left").drop("_doc").drop("_text")
-    both = both.withColumn("_lines", lines).withColumn("_gone", F.coalesce("_gone", none))
-    number = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    stay = F.transform(number, lambda i: F.get("_lines", i))
-    return (
-        both.withColumn("text", F.when(F.size("_gone") == 0, F.coalesce("text", F.lit(""))).otherwise(F.concat_ws("\n", stay)))
-        .withColumn("_n_lines", F.size("_lines").cast("long"))
-        .withColumn("_n_dropped", F.size("_gone").cast("long"))
-        .drop("_lines", "_gone")
+    gone = gone.select(F.struct("doc_id", "text_hash").alias("of"), "lines")
+    whole = docs.select(
+        F.struct(*docs.columns).alias("row"), F.struct(F.col("doc_id").cast("long"), _text_hash()).alias("own")
+    )
+    both = whole.join(gone, F.col("own").eqNullSafe(F.col("of")), "left")
+    text = F.coalesce("row.text", F.lit(""))
+    both = both.select(
+        "row", text.alias("text"), F.split(text, "\n", -1).alias("all"), F.coalesce("lines", F.array().cast("array<int>")).alias("lines")
+    )
+    number = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "lines")
+    stay = F.concat_ws("\n", F.transform(number, lambda i: F.get("all", i)))
+    return both.select(
+        "row",
+        F.when(F.size("lines") == 0, F.col("text")).otherwise(stay).alias("kept"),
+        F.size("all").cast("long").alias("n_lines"),
+        F.size("lines").cast("long").alias("n_dropped"),
     )

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docspark.llm import words as wd
 from docspark.llm.components import components
@@ -103,10 +103,15 @@ def sketches(docs: DataFrame, size: int, tables: int = TABLES, rows: int = ROWS)
             texts = wd.texts_of(batch.column("text"))
             for i, j in wd.slices(texts):
                 made = _sketch(texts.slice(i, j - i), size, tables, rows)
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(i, j - i)} | made)
+                own = {c: batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash")}
+                yield pa.RecordBatch.from_pydict(own | made)
 
-    schema = "doc_id long, n_shingles long, cls binary, a array<long>, b array<long>, signature binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, text_hash long, n_shingles long, cls binary, a array<long>, b array<long>, signature binary"
+    return docs.select(F.col("doc_id").cast("long"), "text", _text_hash()).mapInArrow(run, schema)
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
 
 
 def cluster(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TABLES, rows: int = ROWS) -> DataFrame:
@@ -114,13 +119,13 @@ def cluster(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TAB
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read.  The result has one row
     per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id that
-    links reach), ``kept`` (whether it is that smallest one) and ``cls``.
+    links reach), ``kept`` (whether it is that smallest one) and ``text_hash``.
 
     Defined results: a null or blank text has an empty set, is linked with nothing and is
     kept; equal texts are linked whatever their length; a row with a null id takes part in
     linking and is never the smallest, unless its component has only null ids, which then
     have a null component and are kept; rows that repeat a doc_id with the same text share
-    their verdict.  ``cls`` tells apart rows that repeat a doc_id with another text.
+    their verdict.  ``text_hash`` tells apart rows that repeat a doc_id with another text.
     """
     sketch, _ = staging.stage(sketches(docs, size, tables, rows), "sketches")
     classes = sketch.where("n_shingles > 0").groupBy("cls")
@@ -154,12 +159,12 @@ def cluster(docs: DataFrame, size: int = 5, percent: int = 80, tables: int = TAB
     part = part.join(smallest, "label").select("cls", "component_id")
     empty = F.col("n_shingles") == 0
     return (
-        sketch.select("doc_id", "n_shingles", "cls")
+        sketch.select("doc_id", "text_hash", "n_shingles", "cls")
         .join(part, "cls", "left")
         .select(
             "doc_id",
+            "text_hash",
             "n_shingles",
-            "cls",
             F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -171,22 +176,14 @@ def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80, tables: int =
 
     Rows without words all stay.  Of rows that repeat a doc_id and a text, one stays.
     """
-    verdict = cluster(docs, size, percent, tables, rows).where("kept").groupBy("doc_id", "cls")
-    verdict = verdict.agg(F.max("n_shingles").alias("_n"))
-    verdict = verdict.select(F.col("doc_id").alias("_doc"), F.col("cls").alias("_own"), "_n")
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = wd.texts_of(batch.column("text"))
-            made = [_sketch(texts.slice(i, j - i), size, 1, 1)["cls"] for i, j in wd.slices(texts)]
-            made = pa.concat_arrays([*made, pa.array([], pa.binary())])
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "_cls"])
-
-    marked = docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField("_cls", T.BinaryType())]))
-    same = F.col("_doc").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_cls") == F.col("_own"))
-    order = Window.partitionBy("_doc", "_cls").orderBy("text")
-    staying = marked.join(verdict, same).withColumn("_nth", F.row_number().over(order))
-    return staying.where("_nth = 1 OR _n = 0").select(*docs.columns)
+    verdict = cluster(docs, size, percent, tables, rows).where("kept")
+    verdict = verdict.groupBy(F.struct("doc_id", "text_hash").alias("of")).agg(F.max("n_shingles").alias("n"))
+    whole = docs.select(
+        F.struct(*docs.columns).alias("row"), F.struct(F.col("doc_id").cast("long"), _text_hash()).alias("own")
+    )
+    order = Window.partitionBy("of").orderBy("row.text")
+    staying = whole.join(verdict, F.col("own").eqNullSafe(F.col("of"))).withColumn("nth", F.row_number().over(order))
+    return staying.where("nth = 1 OR n = 0").select("row.*")
 
 
 def _stars(members: DataFrame, classes: DataFrame) -> DataFrame:

@@ -41,10 +41,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     state, _ = staging.stage(linededup.references(docs), "references")
     return linededup.judged(docs, state, min_docs=10).select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2("text", 256).alias("kept_sha256"),
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
@@ -58,7 +55,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.cluster(table(spark, sf_dir, "documents"), size=4, percent=80).drop("cls")
+    return neardup.cluster(table(spark, sf_dir, "documents"), size=4, percent=80).drop("text_hash")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
