@@ -257,8 +257,8 @@ def score(
             c = counts[at]
             tokens = np.diff(first) + 1
             owner = np.repeat(np.arange(len(tokens)), np.diff(first))
-            worth = np.bincount(owner, np.log10(c + 1.0), len(tokens))
-            base = worth + np.log10(ends + 1.0) - tokens * np.log10(float(n + v + 1))
+            base = np.bincount(owner, np.log10((c + 1) / (n + v + 1)), len(tokens))
+            base += np.log10((ends + 1) / (n + v + 1))
             texts = piece.texts.to_pylist()
             values = []
             for a, b in _runs(texts):
