@@ -57,6 +57,10 @@ NOISE_WORDS = frozenset(
     discussion share sharing social related recommended recommendations widget toolbar pagination pager search form
     contentinfo complementary alert dialog skip""".split()
 )
+# Of these, the ones that make an article element no article.
+NO_ARTICLE = frozenset("ad ads comment comments promo related recommended respond sponsored widget".split())
+# Words with which a class says what a wrapper has beside its content, as in has-sidebar.
+BESIDE = frozenset("has no with without".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "legend", "option", "tbody", "td", "tfoot", "th", "thead", "tr"}
 # A start tag closes an open element of these, inside the same list or table.
 CLOSES = {
@@ -196,7 +200,10 @@ class Reader:
             landmark = "main"
         noise = up.noise or tag in RAW or tag in NOISE or hidden
         noise |= tag == "header" and up.landmark != "article"
-        noise |= tag not in ("html", "body", "main") and bool(words & NOISE_WORDS)
+        if tag == "article":
+            noise |= bool(words & NO_ARTICLE)
+        elif tag not in ("html", "body", "main") and not words & BESIDE:
+            noise |= bool(words & NOISE_WORDS)
         noise |= "header" in words and tag != "header" and up.landmark != "article"
         path = up.path
         if block:
