@@ -119,6 +119,31 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
           sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op9_minhash_dedup": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), shingles AS (
+          SELECT DISTINCT doc_id, array_to_string(ws[nth : nth + 3], ' ') AS shingle
+          FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS nth FROM w WHERE len(ws) > 0)
+        ), sizes AS (
+          SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+          FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS (
+          SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+          WHERE 100 * shared >= 80 * (p.n + q.n - shared)
+        ), edges AS (
+          SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+        ), reached AS (
+          SELECT doc_id, doc_id AS other FROM w
+          UNION SELECT reached.doc_id, y FROM reached JOIN edges ON other = x
+        ), lowest AS (
+          SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+        FROM w JOIN lowest ON w.doc_id = lowest.doc_id LEFT JOIN sizes ON w.doc_id = sizes.doc_id""",
     "op10_warc": """
         WITH p AS (
           SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages
