@@ -23,8 +23,18 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/docspark/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/docspark/{uuid.uuid4().hex}/{name}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every stage that this application wrote; tables read from them are gone then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

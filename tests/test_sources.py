@@ -123,6 +123,14 @@ def test_stage_counts_while_writing(spark):
     assert df.inputFiles()[0].removeprefix("file://").startswith(folder)
 
 
+def test_release_removes_what_was_staged(tmp_path, spark, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    staging.stage(spark.range(10), "numbers")
+    (tmp_path / "other").mkdir()
+    staging.release(spark)
+    assert [p.name for p in tmp_path.rglob("*") if p.is_file()] == [] and (tmp_path / "other").exists()
+
+
 class Session:
     """As much of a session as the folder rule looks at."""
 
