@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docspark.llm import pieces as pc
 from docspark.llm import words as wd
@@ -129,42 +129,40 @@ class Tree:
         return np.log10(chance)
 
 
+def _last(value: str, count: Column, depth: int) -> Column:
+    """The last ``count`` bytes of a number."""
+    masks = F.array(*[F.lit((1 << (8 * n)) - 1).cast("long") for n in range(depth + 2)])
+    return F.col(value).bitwiseAND(F.get(masks, count))
+
+
 def grow(packed: DataFrame, depth: int, min_count: int, min_divergence: float, max_states: int) -> Tree:
     """Count, test and collect the retained contexts."""
-    grams, _ = staging.stage(_gram_counts(packed, depth), "grams")
-    levels = [grams.select((F.col("gram").bitwiseAND((1 << (8 * (k + 1))) - 1)).alias("pair"), "n") for k in range(depth)]
-    levels = [level.groupBy("pair").agg(F.sum("n").alias("n")) for level in levels] + [grams.toDF("pair", "n")]
-    tested = None
-    for k in range(1, depth + 1):
-        shorter = levels[k - 1].select(F.col("pair").alias("short_pair"), F.col("n").alias("short_n"))
-        mask = (1 << (8 * k)) - 1
-        both = levels[k].withColumn("short_pair", F.col("pair").bitwiseAND(mask)).join(shorter, "short_pair")
-        # sum of n * log((n / N) / (m / M)) over symbols; M, the shorter context's count, follows.
-        made = both.groupBy(F.shiftright("pair", 8).alias("context")).agg(
-            F.sum("n").alias("total"),
-            F.sum(F.col("n") * F.log(F.col("n") / F.col("short_n"))).alias("logs"),
-        )
-        made = made.where(F.col("total") >= min_count)
-        sums = levels[k - 1].groupBy(F.shiftright("pair", 8).alias("short")).agg(F.sum("n").alias("short_total"))
-        made = made.withColumn("short", F.col("context").bitwiseAND((1 << (8 * (k - 1))) - 1)).join(sums, "short")
-        divergence = F.col("logs") + F.col("total") * F.log(F.col("short_total") / F.col("total"))
-        made = made.select(F.lit(k).alias("k"), "context", divergence.alias("divergence"))
-        made = made.where(F.col("divergence") >= min_divergence)
-        tested = made if tested is None else tested.union(made)
+    grams = _gram_counts(packed, depth)
+    lengths = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("k")
+    # Counts of every context, from none to full depth, with the symbol after it.
+    pairs = grams.select(lengths, "gram", "n").select("k", _last("gram", F.col("k") + 1, depth).alias("pair"), "n")
+    levels, _ = staging.stage(pairs.groupBy("k", "pair").agg(F.sum("n").alias("n")), "levels")
+
+    context = F.shiftright("pair", 8).alias("context")
+    shorter = levels.select((F.col("k") + 1).alias("k"), F.col("pair").alias("short"), F.col("n").alias("m"))
+    both = levels.withColumn("short", _last("pair", F.col("k"), depth)).join(shorter, ["k", "short"])
+    # sum of n * log((n / N) / (m / M)) over symbols; M, the shorter context's count, follows.
+    made = both.groupBy("k", context).agg(
+        F.sum("n").alias("total"), F.sum(F.col("n") * F.log(F.col("n") / F.col("m"))).alias("logs")
+    )
+    made = made.where(F.col("total") >= min_count).withColumn("short", _last("context", F.col("k") - 1, depth))
+    sums = levels.groupBy((F.col("k") + 1).alias("k"), F.shiftright("pair", 8).alias("short"))
+    made = made.join(sums.agg(F.sum("n").alias("short_total")), ["k", "short"])
+    divergence = F.col("logs") + F.col("total") * F.log(F.col("short_total") / F.col("total"))
+    tested = made.select("k", "context", divergence.alias("divergence")).where(F.col("divergence") >= min_divergence)
     strongest = tested.orderBy(F.desc("divergence"), "k", "context").limit(max_states)
     # With every retained context, the shorter ones that it ends in: at most depth times as many.
     ends = F.explode(F.sequence(F.lit(1), F.col("k"))).alias("k")
-    kept = strongest.select("context", ends)
-    masks = F.array(*[F.lit((1 << (8 * k)) - 1) for k in range(1, depth + 1)])
-    kept = kept.select("k", F.col("context").bitwiseAND(F.element_at(masks, F.col("k"))).alias("context")).distinct()
-    kept = kept.union(packed.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("context")))
-    kept, _ = staging.stage(kept, "contexts")
-    found = None
-    for k in range(depth + 1):
-        of = levels[k].withColumn("context", F.shiftright("pair", 8)).withColumn("k", F.lit(k))
-        of = of.join(F.broadcast(kept.where(F.col("k") == k)), ["k", "context"]).select("k", "pair", "n")
-        found = of if found is None else found.union(of)
-    rows = found.toPandas()
+    kept = strongest.select("context", ends).select("k", _last("context", F.col("k"), depth).alias("context")).distinct()
+    root = packed.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("context"))
+    kept, _ = staging.stage(kept.union(root), "contexts")
+    found = levels.select("k", context, "pair", "n").join(F.broadcast(kept), ["k", "context"])
+    rows = found.select("k", "pair", "n").toArrow().to_pandas()
     tree = []
     for k in range(depth + 1):
         own = rows[rows["k"] == k].sort_values("pair")
