@@ -34,9 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaked = decontaminate.find(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaked, docs["doc_id"] == leaked["doc_id"], "left_anti")
+    return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

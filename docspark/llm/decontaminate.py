@@ -29,6 +29,8 @@ from docspark.llm import words as wd
 
 # Items of one pass over the documents.
 ITEM_BLOCK = 20_000
+# Windows whose fingerprints a task makes at a time.
+WINDOW_BLOCK = 1_024
 BITS = 64
 BLOCKS = 8
 # Blocks match up to one bit, so the index finds every pair within this distance.
@@ -130,8 +132,8 @@ def _matches(items: Items, texts: pa.Array, bound: float) -> Iterator[tuple[int,
         windows.add((d, int(w.first[d]), int(w.first[d + 1] - w.first[d])))
     best: dict[tuple[int, int], tuple[int, int, float]] = {}
     ordered = sorted(windows)
-    for lo in range(0, len(ordered), 4096):
-        part = ordered[lo : lo + 4096]
+    for lo in range(0, len(ordered), WINDOW_BLOCK):
+        part = ordered[lo : lo + WINDOW_BLOCK]
         sets = [
             runs[first : first + n - items.size + 1] if n >= items.size else wd.grams(h[first : first + n], n)[:1]
             for _, first, n in part
@@ -154,21 +156,11 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 5, bound: float = 0.
     item_id, first_word, n_words and similarity of the best window.  The benchmark is read in
     blocks of bounded size, each held against all documents in one pass.
     """
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
     schema = "doc_id long, item_id long, first_word long, n_words long, similarity double"
     found = None
-    block: list[tuple[int, str]] = []
-    stream = rows.toLocalIterator()
-    while True:
-        row = next(stream, None)
-        if row is not None and row.text.split():
-            block.append((row.item_id, row.text))
-        if block and (row is None or len(block) == ITEM_BLOCK):
-            hits = _one_pass(docs, Items(block, size), bound, schema)
-            found = hits if found is None else found.union(hits)
-            block = []
-        if row is None:
-            break
+    for items in _blocks(benchmark, size):
+        hits = _one_pass(docs, items, bound, schema)
+        found = hits if found is None else found.union(hits)
     if found is None:
         return docs.sparkSession.createDataFrame([], schema)
     # Repeated rows of a document report an item once.
@@ -183,6 +175,38 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 5, bound: float = 0.
     )
 
 
+def remove(docs: DataFrame, benchmark: DataFrame, size: int = 5, bound: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that contain no item."""
+    for items in _blocks(benchmark, size):
+        docs = docs.mapInArrow(_clean_rows(docs.sparkSession.sparkContext.broadcast(items), bound), docs.schema)
+    return docs
+
+
+def _clean_rows(shipped, bound: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = wd.texts_of(batch.column("text"))
+            for i, j in wd.slices(texts):
+                clean = np.ones(j - i, bool)
+                clean[[hit[0] for hit in _matches(shipped.value, texts.slice(i, j - i), bound)]] = False
+                yield batch.slice(i, j - i).filter(pa.array(clean))
+
+    return run
+
+
+def _blocks(benchmark: DataFrame, size: int) -> Iterator[Items]:
+    """The items, some at a time."""
+    block: list[tuple[int, str]] = []
+    for row in benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL").toLocalIterator():
+        if row.text.encode().split():
+            block.append((row.item_id, row.text))
+        if len(block) == ITEM_BLOCK:
+            yield Items(block, size)
+            block = []
+    if block:
+        yield Items(block, size)
+
+
 def _one_pass(docs: DataFrame, items: Items, bound: float, schema: str) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(items)
 

@@ -74,6 +74,10 @@ def test_blocks_of_items_give_the_same(spark, docs_of, monkeypatch):
     docs = docs_of([(i, f"intro {t} outro") for i, t in items])
     monkeypatch.setattr(dc, "ITEM_BLOCK", 3)
     assert sorted((r.doc_id, r.item_id) for r in dc.find(docs, benchmark).collect()) == [(i, i) for i in range(7)]
+    more = docs.union(docs_of([(20, "no item"), (None, None), (None, items[5][1])]))
+    stay = dc.remove(more, benchmark)
+    assert stay.columns == docs.columns
+    assert [(r.doc_id, r.text) for r in stay.orderBy("doc_id").collect()] == [(None, None), (20, "no item")]
 
 
 def test_empty_tables(spark, docs_of):
