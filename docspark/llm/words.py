@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Text is walked in slices of about this many bytes, so that a task's arrays stay small.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 # The white space of all word patterns, [\x20\x09-\x0D].
 SPACE = np.zeros(256, bool)
