@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docspark.llm import words as wd
 
 # Frequent keys that one shard should hold.
-SHARD_KEYS = 200_000
-# Probes of one shard are dealt to this many tasks, each with the shard's filter.
-SALTS = 8
+SHARD_KEYS = 50_000
+# Probes of one shard are dealt to tasks of about this many, each with the shard's filter.
+SALT_PROBES = 250_000
 SLOTS = 4
 KICKS = 500
 
@@ -172,9 +172,11 @@ def dropped_lines(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_cha
 
     ``text_hash`` tells rows apart that repeat a doc_id with another text.
     """
-    frequent = state.where(F.col("n_docs") >= min_docs).select("key", "n_docs")
-    n = frequent.count()
+    often = F.col("n_docs") >= min_docs
+    frequent = state.where(often).select("key", "n_docs")
+    n, lines = state.agg(F.count_if(often), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
     shards = max(1, -(-n // SHARD_KEYS))
+    salts = max(1, -(-lines // (shards * SALT_PROBES)))
     shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,11 +217,11 @@ def dropped_lines(docs: DataFrame, state: DataFrame, min_docs: int = 10, min_cha
 
     asked = docs.select(F.col("doc_id").cast("long"), "text", _text_hash())
     asked = asked.mapInArrow(probe, "key binary, doc_id long, text_hash long, line int")
-    salt = F.pmod(F.xxhash64("doc_id", "line"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("doc_id", "line"), F.lit(salts)).cast("int")
     asked = asked.select(shard, salt.alias("salt"), F.lit(1).alias("kind"), "key", "doc_id", "text_hash", "line")
     known = frequent.select(
         shard,
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
         F.lit(0).alias("kind"),
         "key",
         *[F.lit(None).cast(kind).alias(c) for c, kind in (("doc_id", "long"), ("text_hash", "long"), ("line", "int"))],
