@@ -32,6 +32,8 @@ ARCHIVE_BYTES = 256_000_000
 # Byte ranges no further apart than this are read together, up to this many bytes.
 GAP_BYTES = 64_000
 READ_BYTES = 8_000_000
+# Records that a reading task is given, in bytes; a file belongs to one task.
+TASK_BYTES = 32_000_000
 
 INDEX = (
     "file string, offset long, length long, page_id long, url string, digest string, record_type string, refers_to long"
@@ -183,7 +185,10 @@ def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
     fields = RECORD.split(", ") if payload else RECORD.split(", ")[:-1]
     names = [field.split()[0] for field in fields]
     kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
-    chosen = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    # The index is small beside what it names, so its own size can't set the number of tasks.
+    size, files = index.agg(F.coalesce(F.sum("length"), F.lit(0)), F.approx_count_distinct("file")).first()
+    tasks = max(1, min(files, -(-size // TASK_BYTES)))
+    chosen = index.select("file", "offset", "length").repartition(tasks, "file").sortWithinPartitions("file", "offset")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
