@@ -48,3 +48,43 @@ def test_distributions_sum_to_one():
 
 def test_without_documents(spark, docs_of):
     assert st.score(docs_of([])).collect() == []
+
+
+def test_every_context_that_passes_is_retained(spark, docs_of):
+    # 70,000 words of their own, each context in them seen often enough and always before one symbol.
+    rng = np.random.default_rng(8)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    words = sorted({bytes(w).decode() for w in letters[rng.integers(0, 26, (70_000, 6))]})
+    text = " ".join(f"{w} " * 4 for w in words)
+    docs = [(0, text), (2, "unseen qqqq " + words[5]), (None, None)]
+    assert not st.held_out(0)
+    depth, min_count, least = 5, 4, 4.0
+    rows = {r.doc_id: r.score for r in st.score(docs_of(docs)).collect()}
+
+    trained = [(t or "").encode() for d, t in docs if not st.held_out(d)]
+    grams, n = np.unique(st._strings(trained, depth)[0], return_counts=True)
+    levels, kept = [], set()
+    for k in range(depth + 1):
+        pairs, at = np.unique(grams & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
+        counts = np.bincount(at, n).astype(np.int64)
+        contexts, begin = np.unique(pairs >> 8, return_index=True)
+        totals, kinds = np.add.reduceat(counts, begin), np.diff(begin, append=len(pairs))
+        if k:
+            up = levels[-1]
+            short = pairs & ((1 << (8 * k)) - 1)
+            m = up[4][np.searchsorted(up[3], short)]
+            above = up[1][np.searchsorted(up[0], short >> 8)]
+            own = np.repeat(totals, kinds)
+            passed = np.add.reduceat(counts * np.log(counts / own * above / m), begin) >= least
+            for c in contexts[passed & (totals >= min_count)].tolist():
+                kept.update((j, c & ((1 << (8 * j)) - 1)) for j in range(1, k + 1))
+        levels.append((contexts, totals, kinds, pairs, counts))
+    assert len(kept) > 60_000
+    for k in range(1, depth + 1):
+        contexts, totals, kinds, pairs, counts = levels[k]
+        stay = np.array([(k, c) in kept for c in contexts.tolist()], bool)
+        levels[k] = (contexts[stay], totals[stay], kinds[stay], pairs[np.repeat(stay, kinds)], counts[np.repeat(stay, kinds)])
+    tree = st.Tree(levels, depth)
+    for doc_id, text in docs:
+        expected = tree.log10(st._strings([(text or "").encode()], depth)[0]).sum()
+        assert math.isclose(rows[doc_id], expected, rel_tol=1e-6)
