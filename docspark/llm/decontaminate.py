@@ -7,14 +7,15 @@ bit, so looking up every block and its one-bit neighbours finds all items within
 What is found is verified by the exact weighted similarity of the shingles (sum of minima
 over sum of maxima).
 
-A window that is similar enough shares a shingle with the item, so only windows around shared
-shingles are built; no window that could pass is left out.
-
-Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; an item or a
-document of fewer words than a shingle is one shingle, the whole sequence, and such an item
-is only found where a whole document equals it; null texts and null items have no words and
-match nothing; equal items are each reported; rows that repeat a doc_id are reported once for
-each item.
+A window that is similar enough shares most shingles with the item, so only windows that hold
+enough of an item's shingles are built, wherever these stand; no window that could pass is left
+out.  Fingerprints of a pair near the bound may lie beyond the radius, so a window is verified
+against the items that it was built for as well, and no such pair is lost.
+
+Defined results: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; an item of fewer
+words than a shingle is found where its words stand in a document in a row; null texts and
+null items have no words and match nothing; equal items are each reported; rows that repeat a
+doc_id are reported once for each item.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from docspark.llm import words as wd
 ITEM_BLOCK = 20_000
 # Windows whose fingerprints a task makes at a time.
 WINDOW_BLOCK = 1_024
+# Places shared with items that a task sorts at a time, unless one document has more.
+SHARED_BLOCK = 1_000_000
 BITS = 64
 BLOCKS = 8
 # Blocks match up to one bit, so the index finds every pair within this distance.
@@ -65,6 +68,10 @@ class Items:
         for i, n in enumerate(self.words.tolist()):
             at = int(w.first[i])
             self.shingles.append(runs[at : at + n - size + 1] if n >= size else wd.grams(h[at : at + n], n)[:1])
+        # Items shorter than a shingle, by their words and the fingerprint of the whole.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i in np.flatnonzero((self.words > 0) & (self.words < size)).tolist():
+            self.short.setdefault(int(self.words[i]), {}).setdefault(int(self.shingles[i][0]), []).append(i)
         self.known = [dict(zip(*(x.tolist() for x in np.unique(s, return_counts=True)))) for s in self.shingles]
         counts = [len(s) for s in self.shingles]
         flat = np.concatenate([np.zeros(0, np.uint64), *self.shingles])
@@ -111,42 +118,76 @@ def _matches(items: Items, texts: pa.Array, bound: float) -> Iterator[tuple[int,
     left = np.searchsorted(items.flat, runs[at], "left")
     right = np.searchsorted(items.flat, runs[at], "right")
     at, left, right = at[right > left], left[right > left], right[right > left]
-    windows: set[tuple[int, int, int]] = set()
-    slack = 1 - bound
-    for position, a, b in zip(at.tolist(), left.tolist(), right.tolist()):
-        d = int(doc[position])
+    windows: dict[tuple[int, int, int], set[int]] = {}
+    for d, item, places in _shared(doc[at], at, left, right, items):
         begin, end = int(w.first[d]), int(w.first[d + 1])
-        for k in range(a, b):
-            n = int(items.words[items.owner[k]])
-            # Words may be missing or added before this place, as far as the bound allows.
-            reach = int(slack * n) + 1
-            for shift in range(-reach, reach + 1):
-                first = position - int(items.place[k]) + shift
-                if begin <= first and first + n <= end:
-                    windows.add((d, first, n))
-                elif shift == 0 and items.size <= end - begin:
-                    # At an edge the window is what is left of the document.
-                    first = max(begin, min(first, end - n))
-                    windows.add((d, first, min(n, end - first)))
-    for d in np.flatnonzero((np.diff(w.first) > 0) & (np.diff(w.first) < items.size)).tolist():
-        windows.add((d, int(w.first[d]), int(w.first[d + 1] - w.first[d])))
+        # A document shorter than the item is one window.
+        n = min(int(items.words[item]), end - begin)
+        span = n - items.size + 1
+        # The fewest shared shingles with which the similarity can reach the bound.
+        need = max(1, int(np.ceil(bound * (span + len(items.shingles[item])) / (1 + bound) - 1e-9)))
+        low = places[need - 1 :] - span + 1
+        high = places[: len(low)]
+        done = begin
+        for lo, hi in zip(low[low <= high].tolist(), high[low <= high].tolist()):
+            for first in range(max(done, lo), min(hi, end - n) + 1):
+                windows.setdefault((d, first, n), set()).add(item)
+                done = first + 1
     best: dict[tuple[int, int], tuple[int, int, float]] = {}
     ordered = sorted(windows)
     for lo in range(0, len(ordered), WINDOW_BLOCK):
         part = ordered[lo : lo + WINDOW_BLOCK]
-        sets = [
-            runs[first : first + n - items.size + 1] if n >= items.size else wd.grams(h[first : first + n], n)[:1]
-            for _, first, n in part
-        ]
+        sets = [runs[first : first + n - items.size + 1] for _, first, n in part]
         owner = np.repeat(np.arange(len(part)), [len(s) for s in sets])
         prints = simhash(np.concatenate(sets), owner, len(part))
         for (d, first, n), own, fingerprint in zip(part, sets, prints):
-            for item in items.within(fingerprint):
+            for item in items.within(fingerprint) | windows[d, first, n]:
                 score = items.similarity(item, own)
                 if score >= bound and score > best.get((d, item), (0, 0, 0.0))[2]:
                     best[d, item] = (first - int(w.first[d]), n, score)
     for (d, item), (first, n, score) in best.items():
         yield d, item, first, n, score
+    yield from _verbatim(items, h, w.first, doc)
+
+
+def _shared(
+    doc: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, items: Items
+) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(document, item, places in ascending order) of the shingles that they share."""
+    count = right - left
+    # Whole documents together, as many as share about so many places with items.
+    part = (np.cumsum(count) - count) // SHARED_BLOCK
+    part = part[np.searchsorted(doc, doc)]
+    for lo, hi in _runs_of(part):
+        n = count[lo:hi]
+        entry = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(left[lo:hi], n)
+        rows = np.stack([np.repeat(doc[lo:hi], n), items.owner[entry], np.repeat(at[lo:hi], n)])
+        rows = rows[:, np.lexsort(rows[::-1])]
+        # An item may hold a shingle more than once.
+        rows = rows[:, (np.diff(rows, axis=1, prepend=-1) != 0).any(axis=0)]
+        for a, b in _runs_of(rows[:2]):
+            yield int(rows[0, a]), int(rows[1, a]), rows[2, a:b]
+
+
+def _runs_of(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of equal columns."""
+    edges = np.flatnonzero((np.diff(np.atleast_2d(keys), axis=1, prepend=-1, append=-1) != 0).any(axis=0)).tolist()
+    return zip(edges, edges[1:])
+
+
+def _verbatim(
+    items: Items, h: np.ndarray, first: np.ndarray, doc: np.ndarray
+) -> Iterator[tuple[int, int, int, int, float]]:
+    """The first place in each document of every item that is shorter than a shingle."""
+    for n, short in items.short.items():
+        runs = wd.grams(h, n)
+        places = np.flatnonzero(wd.inside(first, n) & np.isin(runs, np.fromiter(short, np.uint64, len(short))))
+        seen: set[tuple[int, int]] = set()
+        for place, d, run in zip(places.tolist(), doc[places].tolist(), runs[places].tolist()):
+            if (d, run) not in seen:
+                seen.add((d, run))
+                for item in short[run]:
+                    yield d, item, place - int(first[d]), n, 1.0
 
 
 def find(docs: DataFrame, benchmark: DataFrame, size: int = 5, bound: float = 0.8) -> DataFrame:

@@ -92,3 +92,36 @@ def test_simhash_is_a_majority():
     made = dc.simhash(values, np.zeros(3, np.int64), 2)
     assert made[0].tolist() == [1, 0, 0, 0, 0, 0, 0, 0] and made[1].tolist() == [0] * 8
     assert isinstance(pa.array(made[0]), pa.Array)
+
+
+def test_every_pair_above_the_bound_is_found(spark, docs_of):
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    items = [(i, text(rng.randint(45, 60))) for i in range(60)]
+    docs = []
+    for i in range(160):
+        passage = items[i % 60][1].split()
+        passage[rng.randrange(5, len(passage) - 5)] = "changed"
+        if i % 3 == 0:  # cut off at the edge of the document
+            docs.append((i, " ".join(passage[rng.randint(1, 3) :]) + " " + text(9)))
+        elif i % 3 == 1:
+            docs.append((i, text(20) + " " + " ".join(passage) + " " + text(9)))
+        else:  # two halves in the other order
+            whole, at = items[i % 60][1].split(), rng.randint(20, 25)
+            docs.append((i, text(7) + " " + " ".join(whole[at:] + whole[:at]) + " " + text(7)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in dc.find(docs_of(docs), benchmark).collect()}
+    expected = brute(docs, items)
+    near = sum(v < 0.85 for v in expected.values())
+    assert near > 40 and set(found) == set(expected)
+    assert all(found[k] == pytest.approx(expected[k]) for k in found)
+
+
+def test_items_shorter_than_a_shingle_are_found_inside_documents(spark, docs_of):
+    items = [(1, "one Two three"), (2, "Lone"), (3, "one two three"), (4, "six seven eight nine")]
+    docs = [(1, "zero ONE two three four five six"), (2, "one two"), (3, "six seven eight nine ten one two three one two three")]
+    docs += [(4, "one two three"), (5, "three lone one"), (6, "one two"), (6, "three")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.first_word, r.n_words) for r in dc.find(docs_of(docs), benchmark).collect())
+    assert found == [(1, 1, 1, 3), (1, 3, 1, 3), (3, 1, 5, 3), (3, 3, 5, 3), (3, 4, 0, 4), (4, 1, 0, 3), (4, 3, 0, 3), (5, 2, 1, 1)]
+    assert sorted(r.doc_id for r in dc.remove(docs_of(docs), benchmark).collect()) == [2, 6, 6]
