@@ -47,6 +47,9 @@ NOTICES = {
     "isc license": "isc",
     "the unlicense": "unlicense",
     "creative commons attribution": "cc-by",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noderivatives": "cc-by-nd",
     "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
     "cc by": "cc-by",
@@ -54,6 +57,11 @@ NOTICES = {
     "public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
 }
+# Notices that are the beginning of longer ones, which count alone where they stand.
+LONGER = {
+    short: tuple(f" {long} " for long in {**BASE, **NOTICES} if long.startswith(f"{short} "))
+    for short in ("cc by", "creative commons attribution", "gnu general public license")
+}
 TAG = "spdx license identifier"
 # Labels of identifiers that name the same licence as a phrase.
 IDENTIFIERS = {
@@ -98,7 +106,8 @@ BINDS = {"or": 1, "and": 2, "with": 3}
 _WORD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_TAGGED = re.compile(rb"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier[ \t]*:?[ \t]*([^\r\n]*)")
+_TAGGED = re.compile(rb"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier[ \t]*:?[ \t]*")
+_LINE_END = re.compile(rb"[\r\n]")
 _TOKEN = re.compile(r"\s*([()]|[a-z0-9][a-z0-9.+-]*)")
 
 
@@ -164,6 +173,15 @@ def automaton() -> ahocorasick.Automaton:
     return made
 
 
+def tagged_expressions(text: bytes) -> Iterator[bytes]:
+    """What follows each tag of a lower-case text, up to the next tag or the end of the line."""
+    tags = list(_TAGGED.finditer(text))
+    for tag, after in zip(tags, [*tags[1:], None]):
+        line = _LINE_END.search(text, tag.end())
+        ends = [line.start() if line else len(text), after.start() if after else len(text)]
+        yield text[tag.end() : min(ends)]
+
+
 def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
     """Counts, places, labels and score of one text."""
     words = text.translate(_WORD).split()
@@ -186,14 +204,11 @@ def scan_text(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
         elif phrase == TAG:
             tagged = True
             continue
-        more.add(label or NOTICES[phrase])
-    if "cc-by" in more and more & {"cc-by-nc", "cc-by-sa", "cc-by-nd"}:
-        more.discard("cc-by")  # the beginning of a longer name
-    if "gpl" in more and more & {"gpl-2", "gpl-3"}:
-        more.discard("gpl")
+        if phrase not in LONGER or not spaced.startswith(LONGER[phrase], end - len(phrase) - 1):
+            more.add(label or NOTICES[phrase])
     worth += map(openness, more)
     if tagged:
-        for rest in _TAGGED.findall(text.lower()):
+        for rest in tagged_expressions(text.lower()):
             steps = postfix(rest.decode("utf-8", "replace"))
             if steps:
                 labels, value = evaluate(steps)

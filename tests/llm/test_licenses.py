@@ -61,3 +61,17 @@ def test_scan_against_brute_force(spark, docs_of):
     by_id = {r.doc_id: r for r in rows}
     assert by_id[3].labels == "bsd-3-clause,gpl-2,mit" and by_id[3].score == 1.0
     assert by_id[None].labels == "all-rights-reserved" and by_id[None].score == 0.0
+
+
+def test_several_statements_in_one_place():
+    phrases = licenses.automaton()
+    result = lambda text: licenses.scan_text(text, phrases)[5:]
+    tag = b"SPDX-License-Identifier:"
+    assert result(tag + b" MIT */ code(); /* " + tag + b" GPL-3.0 */") == ("gpl-3,mit", 0.3)
+    assert result(tag + b" MIT OR " + tag + b" GPL-2.0\n" + tag + b"\n" + tag + b" ISC") == ("gpl-2,isc,mit", 0.3)
+    assert result(b"text cc by, images CC BY-NC") == ("cc-by,cc-by-nc", 0.1)
+    assert result(b"only CC BY-NC and cc by sa") == ("cc-by-nc,cc-by-sa", 0.1)
+    gpl = b"GNU General Public License"
+    assert result(gpl + b" version 2; parts: " + gpl + b", any version") == ("gpl,gpl-2", 0.3)
+    assert result(gpl + b" version 3") == ("gpl-3", 0.3)
+    assert result(b"Creative Commons Attribution-NonCommercial (CC BY-NC)") == ("cc-by-nc", 0.1)
