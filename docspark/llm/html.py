@@ -9,8 +9,9 @@ Nodes of low importance are removed from every page of the host.
 A tree can't tell a menu whose words differ on every page from content, so what the markup
 itself says is a presentation's prior: menus, page headers and footers, sidebars, notices,
 adverts, forms, scripts and reader comments have no importance, and what a page marks as its
-article (or its main part, where it has no article) is always important; such a page keeps
-nothing else.  Blocks of mere links outside an article have no importance either.
+article is always important.  A page with an article or a main part keeps nothing else; of the
+main part, what lies outside its articles is judged by the tree.  Blocks of mere links on pages
+without either have no importance.
 
 Defined results: a null or empty page has an empty text; a page without a host is a host of
 its own kind; unclosed and stray tags are read as browsers read them; repeated rows are
@@ -258,14 +259,11 @@ def read(html: str) -> Page:
     return Reader().read(html)
 
 
-def candidates(page: Page) -> tuple[list[tuple[str, str]], bool]:
-    """The blocks (path, text) that the markup allows, and whether it marks them as content."""
+def candidates(page: Page) -> tuple[list[tuple[str, str]], list[bool]]:
+    """The blocks (path, text) that the markup allows, and which of them it marks as article."""
     plain = [b for b in page.blocks if not b[1]]
-    for landmark in ("article", "main"):
-        marked = [(path, text) for path, _, mark, _, text in plain if mark == landmark]
-        if marked:
-            return marked, True
-    return [(path, text) for path, _, _, share, text in plain if share < 0.8], False
+    kept = [b for b in plain if b[2]] or [b for b in plain if b[3] < 0.8]
+    return [(path, text) for path, _, _, _, text in kept], [b[2] == "article" for b in kept]
 
 
 def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +303,7 @@ def _page_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "host": pa.array(hosts, pa.int64()),
                 "nodes": pa.array(nodes, pa.list_(pa.int64())),
                 "texts": pa.array(texts, pa.list_(pa.string())),
-                "certain": pa.array(certain, pa.bool_()),
+                "certain": pa.array(certain, pa.list_(pa.bool_())),
             }
         )
 
@@ -340,13 +338,13 @@ def extract(pages: DataFrame) -> DataFrame:
     removed = low.groupBy("host").agg(F.collect_set("node").alias("removed"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     removed = removed.select("host", salts.alias("salt"), "removed")
-    schema = "page_id long, url string, host long, nodes array<long>, texts array<string>, certain boolean"
+    schema = "page_id long, url string, host long, nodes array<long>, texts array<string>, certain array<boolean>"
     rows = _sited(pages).mapInArrow(_page_rows, schema)
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
     rows = rows.join(removed, ["host", "salt"], "left")
     kept = F.filter(
-        F.arrays_zip("nodes", "texts"),
-        lambda b: F.col("certain") | F.col("removed").isNull() | ~F.array_contains("removed", b["nodes"]),
+        F.arrays_zip("nodes", "texts", "certain"),
+        lambda b: b["certain"] | F.col("removed").isNull() | ~F.array_contains("removed", b["nodes"]),
     )
     text = F.array_join(F.transform(kept, lambda b: b["texts"]), "\n")
     return rows.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -54,3 +54,14 @@ def test_tree_removes_what_a_host_repeats(spark):
 def test_no_pages(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert html.extract(empty).collect() == []
+
+
+def test_tree_judges_main_outside_its_articles(spark):
+    top = "<div class=top>Same words here</div>"
+    page = "<main>{}<p>Text of number {}</p><article><p>Same teaser</p></article></main>"
+    plain = "<main>{}<p>Text of number {}</p></main>"
+    rows = [(i, f"http://h{i % 2}.example/{i}", (page if i % 2 else plain).format(top, i)) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html.extract(pages).collect()}
+    for i in range(20):
+        assert found[i] == f"Text of number {i}" + "\nSame teaser" * (i % 2)
