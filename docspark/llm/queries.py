@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import decontaminate, html, licenses, linededup, neardup, packing, quality, substrings, suffixtree, warc
+from docspark.llm import bpe, decontaminate, html, licenses, linededup, neardup, packing, quality, substrings, suffixtree, warc
 from docspark.sources import staging
 
 
@@ -66,6 +66,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    digests = [F.sha2(c, 256).alias(name) for c, name in (("tokens", "ids_sha256"), ("decoded", "decoded_sha256"))]
+    return done.select("doc_id", "n_tokens", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_lm_scoring": op2_lm_scoring,
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_warc": op10_warc,
+    "op11_bpe": op11_bpe,
 }
 
 ORACLES: dict[str, str] = {
