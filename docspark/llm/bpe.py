@@ -4,7 +4,7 @@ Most pre-tokens repeat, so merging is done once per distinct one:
 
 1. Documents are gathered in blocks of some megabytes.  A block numbers its distinct
    pre-tokens and keeps, for every position, the number of what stands there.  Blocks are
-   written once.
+   shuffled once, and both later steps read that one shuffle.
 2. The distinct pre-tokens of a block are exploded by the bucket of their hash; a row holds
    those of one block and bucket with their numbers.  Rows are shuffled by bucket,
    whose task merges each distinct pre-token once, whatever number of blocks has it.
@@ -14,6 +14,10 @@ Most pre-tokens repeat, so merging is done once per distinct one:
 A pre-token crosses the network at most once per block each way, a frequent one as well as a
 rare one, so no key is hot, and no table of words is held as a whole anywhere.
 
+Blocks are made anew if an executor is lost, so documents must come in a stable order, as they
+do from files; a block whose content has changed since its pre-tokens were sent out is an error,
+not a wrong result.
+
 Defined results: a null or empty text has no ids; bytes that are no UTF-8 count as U+FFFD;
 repeated rows are encoded once each; further columns are left out.
 """
@@ -24,18 +28,17 @@ import base64
 import heapq
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import tiktoken
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from docspark.llm import pieces as pc, words as wd
-from docspark.sources import staging
 
 # Text that one block holds; a longer document is a block of its own.
 BLOCK_BYTES = 16_000_000
@@ -53,8 +56,12 @@ _GAP = re.compile(rb"[A-Za-z](?= )")
 # Masks of the lowest 0 to 8 bytes of a number.
 _LOWEST = np.array([256**n - 1 for n in range(9)], np.uint64)
 
-BLOCK = "ids array<long>, counts array<long>, places binary, words array<binary>, bytes long"
-BACK = "block long, numbers binary, sizes binary, tokens binary"
+# One packed column, so that both readers of a block need the same columns of the shuffle.
+BLOCK = "held struct<ids: array<long>, counts: array<long>, places: binary, sizes: binary, words: binary>"
+BACK = "block long, crc long, numbers binary, sizes binary, tokens binary"
+HELD = pa.struct(
+    [(c, pa.list_(pa.int64())) for c in ("ids", "counts")] + [(c, pa.binary()) for c in ("places", "sizes", "words")]
+)
 ENCODED = "doc_id long, n_tokens long, tokens binary"
 
 
@@ -68,6 +75,8 @@ def ranks_of(path: str) -> dict[bytes, int]:
 @lru_cache(maxsize=1)
 def classes() -> bytes:
     """The class of every character, by the Unicode version of the tokenizer library, compressed."""
+    import tiktoken  # heavy, and needed on the driver only
+
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     table = np.full(0x110000, OTHER, np.uint8)
     bytewise = {bytes([i]): i for i in range(256)}
@@ -184,8 +193,8 @@ def _merged_long(ranks: dict[bytes, int], word: bytes) -> list[int]:
     return ids
 
 
-def blocks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Write numbered blocks of documents (doc_id, text); also the bytes of all texts.
+def blocks(docs: DataFrame, tasks: int) -> DataFrame:
+    """Numbered blocks of documents (doc_id, text).
 
     ``places`` has the number of the pre-token at each position, ``words`` the distinct
     pre-tokens by number, the most frequent first.
@@ -205,9 +214,7 @@ def blocks(docs: DataFrame) -> tuple[DataFrame, int]:
             yield block.row()
 
     made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, BLOCK)
-    # Numbered once: the written table keeps the numbers.
-    written, _ = staging.stage(made.withColumn("block", F.monotonically_increasing_id()), "blocks")
-    return written, written.agg(F.sum("bytes")).first()[0] or 0
+    return made.withColumn("block", F.monotonically_increasing_id()).repartition(tasks, "block")
 
 
 def _distinct(data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -273,24 +280,28 @@ class _Block:
         order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        return pa.RecordBatch.from_pydict(
-            {
-                "ids": pa.array([self.ids], pa.list_(pa.int64())),
-                "counts": pa.array([self.counts], pa.list_(pa.int64())),
-                "places": pa.array([pc.pack(rank[places])], pa.binary()),
-                "words": pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
-                "bytes": pa.array([self.bytes], pa.int64()),
-            }
-        )
-
-
-def _exploded(written: DataFrame, bits: int) -> DataFrame:
+        held = {
+            "ids": self.ids,
+            "counts": self.counts,
+            "places": pc.pack(rank[places]),
+            "sizes": pc.pack(np.fromiter((len(words[i]) for i in order), np.uint64, len(order))),
+            "words": pc.squeeze(b"".join(words[i] for i in order)),
+        }
+        return pa.RecordBatch.from_arrays([pa.array([held], HELD)], ["held"])
+
+
+def _words_of(held: dict) -> list[bytes]:
+    data, ends = pc.unsqueeze(held["words"]), np.cumsum(pc.unpack(held["sizes"]).astype(np.int64)).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _exploded(blocks: DataFrame, bits: int) -> DataFrame:
     """One row per block and bucket: the numbers and bytes of its distinct pre-tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, words in zip(batch.column("block").to_pylist(), batch.column("words")):
-                words = words.as_py()
+            for held, block in zip(batch.column("held").to_pylist(), batch.column("block").to_pylist()):
+                words, crc = _words_of(held), zlib.crc32(held["words"])
                 bucket = np.array([xxhash.xxh3_64_intdigest(w) >> (64 - bits) if bits else 0 for w in words], np.int64)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)).tolist() if words else []
@@ -299,14 +310,14 @@ def _exploded(written: DataFrame, bits: int) -> DataFrame:
                     own = order[a:b]
                     found = [words[i] for i in own]
                     sizes = pc.pack(np.fromiter(map(len, found), np.uint64))
-                    rows.append((int(bucket[own[0]]), block, pc.pack_sorted(own), sizes, pc.squeeze(b"".join(found))))
-                columns = list(zip(*rows)) or [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-                names = ["bucket", "block", "numbers", "sizes", "words"]
+                    rows.append((int(bucket[own[0]]), block, crc, pc.pack_sorted(own), sizes, pc.squeeze(b"".join(found))))
+                columns = list(zip(*rows)) or [[]] * 6
+                kinds = [pa.int64()] * 3 + [pa.binary()] * 3
+                names = ["bucket", "block", "crc", "numbers", "sizes", "words"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    schema = "bucket long, block long, numbers binary, sizes binary, words binary"
-    return written.select("block", "words").mapInArrow(run, schema)
+    schema = "bucket long, block long, crc long, numbers binary, sizes binary, words binary"
+    return blocks.mapInArrow(run, schema)
 
 
 def _merged_once(exploded: DataFrame, ranks: str, tasks: int) -> DataFrame:
@@ -317,40 +328,52 @@ def _merged_once(exploded: DataFrame, ranks: str, tasks: int) -> DataFrame:
         current, known = None, {}
         for batch in batches:
             rows = []
-            for bucket, block, numbers, sizes, words in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if bucket != current:
-                    current, known = bucket, {}
-                data = pc.unsqueeze(words)
-                ends = np.cumsum(pc.unpack(sizes).astype(np.int64)).tolist()
+            for r in batch.to_pylist():
+                if r["bucket"] != current:
+                    current, known = r["bucket"], {}
                 found = []
-                for a, b in zip([0, *ends], ends):
-                    word = data[a:b]
+                for word in _words_of(r):
                     ids = known.get(word)
                     if ids is None:
                         ids = known[word] = merged(table, word)
                     found.append(ids)
-                flat = np.fromiter((i for ids in found for i in ids), np.uint32)
-                rows.append((block, numbers, pc.pack(np.fromiter(map(len, found), np.uint32)), pc.pack(flat)))
-            columns = list(zip(*rows)) or [[]] * 4
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            names = ["block", "numbers", "sizes", "tokens"]
+                sizes = pc.pack(np.fromiter(map(len, found), np.uint64))
+                rows.append((r["block"], r["crc"], r["numbers"], sizes, _pack_ids([i for ids in found for i in ids])))
+            columns = list(zip(*rows)) or [[]] * 5
+            kinds = [pa.int64()] * 2 + [pa.binary()] * 3
+            names = ["block", "crc", "numbers", "sizes", "tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return exploded.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(run, BACK)
 
 
-def _reassembled(key: tuple, held: pa.Table, back: pa.Table) -> pa.Table:
+def _pack_ids(ids: list[int]) -> bytes:
+    """Few different ids make up most words, so each is sent once, and then its number."""
+    codes, distinct = pd.factorize(np.array(ids, np.uint64))
+    distinct = pc.pack(distinct)
+    return len(distinct).to_bytes(8, "little") + distinct + pc.pack(codes)
+
+
+def _unpack_ids(packed: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(packed[:8], "little")
+    return pc.unpack(packed[8:end]).astype("<u4")[pc.unpack(packed[end:]).astype(np.int64)]
+
+
+def _reassembled(key: tuple, block: pa.Table, back: pa.Table) -> pa.Table:
     """The ids of a block's documents: positions joined to the ids of their pre-tokens."""
+    held = block.column("held")[0].as_py()
+    if back.num_rows and set(back.column("crc").to_pylist()) != {zlib.crc32(held["words"])}:
+        raise ValueError("documents came in another order when they were read again; write them to a table first")
     numbers, found_sizes, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
     for n, size, ids in zip(*(back.column(c).to_pylist() for c in ("numbers", "sizes", "tokens"))):
         numbers.append(pc.unpack_sorted(n).astype(np.int64))
         found_sizes.append(pc.unpack(size).astype(np.int64))
-        found.append(pc.unpack(ids).astype("<u4"))
+        found.append(_unpack_ids(ids))
     number, length, tokens = map(np.concatenate, (numbers, found_sizes, found))
     sizes, starts = np.zeros_like(length), np.zeros_like(length)
     sizes[number], starts[number] = length, np.cumsum(length) - length
-    ids, counts = held.column("ids")[0].as_py(), held.column("counts")[0].as_py()
-    places = pc.unpack(held.column("places")[0].as_py()).astype(np.int64)
+    ids, counts = held["ids"], held["counts"]
+    places = pc.unpack(held["places"]).astype(np.uint32)
     found, n_tokens, at = [], [], 0
     for count in counts:
         own = places[at : at + count]
@@ -370,10 +393,10 @@ def encode(docs: DataFrame, ranks: str) -> DataFrame:
 
     ``ranks`` is the path of a rank file.
     """
-    written, total = blocks(docs)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, total / BUCKET_BYTES))))
-    back = _merged_once(_exploded(written, bits), ranks, 2**bits)
-    held = written.select("block", "ids", "counts", "places")
+    held = blocks(docs, math.ceil(total / BLOCK_BYTES) + 1)
+    back = _merged_once(_exploded(held, bits), ranks, 2**bits)
     return held.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_reassembled, ENCODED)
 
 

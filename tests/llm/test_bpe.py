@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -105,11 +106,23 @@ def test_parts_end_where_pre_tokens_do(monkeypatch):
 
 def test_a_word_has_one_bucket(docs_of, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 10)
-    written, _ = bpe.blocks(docs_of([(i, "one two three four") for i in range(50)]))
+    blocks = bpe.blocks(docs_of([(i, "one two three four") for i in range(50)]), 3)
     buckets = {}
-    for r in bpe._exploded(written, 2).collect():
-        data, ends = pc.unsqueeze(r.words), np.cumsum(pc.unpack(r.sizes).astype(int)).tolist()
-        for a, b in zip([0, *ends], ends):
-            buckets.setdefault(data[a:b], set()).add(r.bucket)
-    assert written.count() >= 3 and sorted(buckets) == [b" four", b" three", b" two", b"one"]
+    for r in bpe._exploded(blocks, 2).collect():
+        for word in bpe._words_of(r.asDict()):
+            buckets.setdefault(word, set()).add(r.bucket)
+    assert blocks.count() >= 3 and sorted(buckets) == [b" four", b" three", b" two", b"one"]
     assert all(len(found) == 1 for found in buckets.values())
+
+
+def test_blocks_are_made_and_shuffled_once(docs_of):
+    encoded = bpe.encode(docs_of(TEXTS), RANKS)
+    encoded.collect()
+    assert "ReusedExchange" in encoded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_changed_block_is_an_error():
+    held = {"ids": [1], "counts": [1], "places": pc.pack(np.zeros(1)), "sizes": pc.pack(np.ones(1)), "words": pc.squeeze(b"a")}
+    sent = {"crc": [0], "numbers": [pc.pack(np.zeros(1))], "sizes": [pc.pack(np.ones(1))], "tokens": [bpe._pack_ids([64])]}
+    with pytest.raises(ValueError):
+        bpe._reassembled((0,), pa.table({"held": pa.array([held], bpe.HELD)}), pa.table(sent))
