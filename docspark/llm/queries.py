@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import bpe, decontaminate, html, licenses, linededup, neardup, packing, quality, substrings, suffixtree, warc
+from docspark.llm import bpe, decontaminate, html, licenses, linededup, merkle, neardup, packing, quality, substrings, suffixtree, warc
 from docspark.sources import staging
 
 
@@ -73,6 +73,14 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", *digests)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Every second document loses its line ends.
+    bent = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", ""))
+    fields = [F.coalesce(bent, F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    return merkle.fold(merkle.build(docs, tampered=merkle.leaf_of(*fields)), "tampered")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_lm_scoring": op2_lm_scoring,
@@ -85,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_warc": op10_warc,
     "op11_bpe": op11_bpe,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -171,4 +180,68 @@ ORACLES: dict[str, str] = {
           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, url
         FROM groups, letters""",
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE crc_table AS (
+          SELECT list(r ORDER BY i) AS entries FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _k:
+              CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS r FROM range(256) AS t(i))
+        ), ids AS (
+          SELECT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+            string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b:
+              xor(c // 256, entries[1 + CAST(xor(c % 256, b) AS INTEGER)]))) AS crc FROM documents, crc_table
+        ), fields AS (
+          SELECT d.doc_id, source, text IS NOT NULL AND crc % 2 = 0 AS bent, concat(
+            coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-'),
+            coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+            coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+            text, replace(text, chr(10), '') AS flat
+          FROM documents d JOIN ids ON d.doc_id = ids.doc_id
+        ), leaves AS (
+          SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+            sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            sha256(head || CASE WHEN bent THEN strlen(flat) || ':' || flat ELSE coalesce(strlen(text) || ':' || text, '-') END)
+              AS changed
+          FROM fields
+        ), trees AS (
+          SELECT 0 AS level, source, pos, leaf AS h FROM leaves
+          UNION ALL
+          SELECT level + 1, source, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (
+            SELECT *, count(*) OVER (PARTITION BY source) AS n FROM trees) WHERE n > 1 GROUP BY level, source, pos // 3
+        ), heights AS (
+          SELECT source, max(level) AS height FROM trees GROUP BY source
+        ), subroots AS (
+          SELECT t.source, h, row_number() OVER (ORDER BY t.source NULLS FIRST) - 1 AS pos
+          FROM trees t JOIN heights g ON t.source IS NOT DISTINCT FROM g.source AND level = height
+        ), heads AS (
+          SELECT 0 AS level, pos, h FROM subroots
+          UNION ALL
+          SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (
+            SELECT *, count(*) OVER () AS n FROM heads) WHERE n > 1 GROUP BY level, pos // 3
+        ), runs AS (
+          SELECT level, source, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM trees GROUP BY ALL
+        ), head_runs AS (
+          SELECT level, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM heads GROUP BY ALL
+        ), way AS (
+          SELECT doc_id, source, 0 AS level, pos, changed AS h, '' AS proof FROM leaves
+          UNION ALL
+          SELECT doc_id, w.source, w.level + 1, w.pos // 3,
+            sha256(array_to_string(hs[1 : pos % 3], '') || w.h || array_to_string(hs[pos % 3 + 2 :], '')),
+            proof || array_to_string(hs[1 : pos % 3], '') || array_to_string(hs[pos % 3 + 2 :], '')
+          FROM way w JOIN runs r ON w.source IS NOT DISTINCT FROM r.source AND w.level = r.level AND w.pos // 3 = parent
+            JOIN heights g ON w.source IS NOT DISTINCT FROM g.source WHERE w.level < height
+        ), up AS (
+          SELECT doc_id, w.source, 0 AS level, s.pos, w.h, proof, s.h AS subroot
+          FROM way w JOIN heights g ON w.source IS NOT DISTINCT FROM g.source AND level = height
+            JOIN subroots s ON w.source IS NOT DISTINCT FROM s.source
+          UNION ALL
+          SELECT doc_id, source, u.level + 1, u.pos // 3,
+            sha256(array_to_string(hs[1 : pos % 3], '') || u.h || array_to_string(hs[pos % 3 + 2 :], '')),
+            proof || array_to_string(hs[1 : pos % 3], '') || array_to_string(hs[pos % 3 + 2 :], ''), subroot
+          FROM up u JOIN head_runs r ON u.level = r.level AND u.pos // 3 = parent
+          WHERE u.level < (SELECT max(level) FROM heads)
+        ), top AS (
+          SELECT level, h AS root FROM heads ORDER BY level DESC LIMIT 1
+        )
+        SELECT l.doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, u.h AS folded_root, u.h = root AS verified
+        FROM leaves l JOIN up u ON l.doc_id = u.doc_id JOIN top ON u.level = top.level""",
 }
