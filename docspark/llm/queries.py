@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docspark.llm import bpe, decontaminate, html, licenses, linededup, merkle, neardup, packing, quality, substrings, suffixtree, warc
+from docspark.llm import bpe, decontaminate, html, licenses, linededup, merkle, neardup, packing, quality, substrings, suffixtree, variants, warc
 from docspark.sources import staging
 
 
@@ -81,6 +81,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fold(merkle.build(docs, tampered=merkle.leaf_of(*fields)), "tampered")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_lm_scoring": op2_lm_scoring,
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_bpe": op11_bpe,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -244,4 +249,46 @@ ORACLES: dict[str, str] = {
         )
         SELECT l.doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, u.h AS folded_root, u.h = root AS verified
         FROM leaves l JOIN up u ON l.doc_id = u.doc_id JOIN top ON u.level = top.level""",
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE crc_table AS (
+          SELECT list(r ORDER BY i) AS entries FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _k:
+              CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS r FROM range(256) AS t(i))
+        ), runs AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents
+        ), each AS (
+          SELECT run, count(*) AS c, hex(encode(doc_id || ':' || run)) AS seed
+          FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+        ), hashed AS (
+          SELECT run, c, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+            range(length(seed) // 2), lambda i: CAST('0x' || substr(seed, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))),
+            lambda h, b: xor(h // 256, entries[1 + CAST(xor(h % 256, b) AS INTEGER)]))) AS h FROM each, crc_table
+        ), words AS (
+          SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+            SELECT c, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word FROM hashed)
+          WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+        ), cut AS (
+          SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), near AS (
+          SELECT a.word, b.word AS other, b.n AS other_n
+          FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+          UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+        ), best AS (
+          SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+          FROM near GROUP BY word
+        ), forms AS (
+          SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+            CASE WHEN other_n >= 10 * n THEN other_n END AS form_n FROM words w LEFT JOIN best b ON w.word = b.word
+        ), ways AS (
+          SELECT word, form AS last, 1 AS step FROM forms WHERE form IS NOT NULL
+          UNION ALL
+          SELECT w.word, f.form, step + 1 FROM ways w JOIN forms f ON w.last = f.word WHERE f.form IS NOT NULL
+        ), ends AS (
+          SELECT word, arg_max(last, step) AS root FROM ways GROUP BY word
+        )
+        SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM forms f LEFT JOIN ends e ON f.word = e.word""",
 }
