@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks import fixtures as fx
+from docspark.functions import text as tx
 from docspark.params import NA_TOKENS, SEARCH_SECTIONS
 
 # White space as a character class of DuckDB's regex dialect.
@@ -70,6 +71,83 @@ from (select {keys}, words, unnest(range((len(words) + {step - 1}) // {step})) a
       from (select {keys}, regexp_extract_all({text}, '{NOT_WS}+') as words from {source}))"""
 
 
+def _literal(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+# DuckDB has no lookbehind: a sentence ends between two words that look like it.
+_GAP = f"""regexp_matches(word, {_literal(tx.SENTENCE_END + "$")})
+  and not regexp_matches(word, {_literal(r"(?:^|[^\p{L}\p{Nd}.])" + tx.ABBREVIATED + "$")})
+  and regexp_matches(next_word, {_literal("^" + tx.SENTENCE_START)})"""
+
+
+def _split_sentences(name: str, source: str) -> str:
+    """``name`` as (doc_id, par, nth, sentence): the sentences of paragraphs (doc_id, par, text)."""
+    return f"""
+{name}_words as (
+  select doc_id, par, i, words[i] as word, words[i + 1] as next_word
+  from (select doc_id, par, words, unnest(range(1, len(words) + 1)) as i
+        from (select doc_id, par, regexp_extract_all(text, '{NOT_WS}+') as words from {source}))),
+{name}_ends as (
+  select *, coalesce(sum(case when {_GAP} then 1 else 0 end) over (
+    partition by doc_id, par order by i rows between unbounded preceding and 1 preceding), 0) as nth
+  from {name}_words),
+{name} as (select doc_id, par, nth, string_agg(word, ' ' order by i) as sentence
+           from {name}_ends group by all)"""
+
+
+def _cut_long(name: str, source: str, size: int) -> str:
+    """``name`` as (doc_id, nth, piece, n): pieces in order, long ones in windows of ``size`` words."""
+    return f"""
+{name}_windows as (
+  select doc_id, par, nth, i, array_to_string(words[i * {size} + 1 : i * {size} + {size}], ' ') as piece
+  from (select doc_id, par, nth, words, unnest(range((len(words) + {size - 1}) // {size})) as i
+        from (select doc_id, par, nth, string_split(sentence, ' ') as words from {source}))),
+{name} as (select doc_id, row_number() over (partition by doc_id order by par, nth, i) as nth, piece,
+                  len(string_split(piece, ' ')) as n from {name}_windows)"""
+
+
+def _filled(name: str, source: str, size: int) -> str:
+    """``name`` as (doc_id, chunk_index, chunk): neighbours of ``topic`` merged greedily."""
+    return f"""
+{name}_fold as (
+  select doc_id, nth, n as held, topic, 0 as pos from {source} where nth = 1
+  union all
+  select p.doc_id, p.nth,
+         case when p.topic <> f.topic or f.held + p.n > {size} then p.n else f.held + p.n end,
+         p.topic, case when p.topic <> f.topic or f.held + p.n > {size} then f.pos + 1 else f.pos end
+  from {name}_fold f join {source} p on p.doc_id = f.doc_id and p.nth = f.nth + 1),
+{name} as (select doc_id, cast(pos as int) as chunk_index, string_agg(piece, ' ' order by nth) as chunk
+           from {name}_fold join {source} using (doc_id, nth) group by doc_id, pos)"""
+
+
+WHOLE = "paragraphs as (select doc_id, 1 as par, text from documents)"
+LINES = """paragraphs as (
+  select doc_id, par, text
+  from (select doc_id, unnest(string_split(text, chr(10))) as text,
+               generate_subscripts(string_split(text, chr(10)), 1) as par from documents))"""
+
+
+def _recursive(size: int, overlap: int) -> str:
+    own = size - overlap
+    counted = f"len(regexp_extract_all(text, '{NOT_WS}+'))"
+    return f"""with recursive {LINES},
+short as (select doc_id, par, 0 as nth, trim(regexp_replace(text, '{WS}+', ' ', 'g')) as sentence
+          from paragraphs where {counted} between 1 and {own}),
+tall as (select * from paragraphs where {counted} > {own}),
+{_split_sentences("long_ones", "tall")},
+both_kinds as (select * from short union all select * from long_ones),
+{_cut_long("pieces", "both_kinds", own)},
+ordered as (select *, 0 as topic from pieces),
+{_filled("chunks", "ordered", own)},
+words as (select doc_id, chunk_index, chunk, string_split(chunk, ' ') as ws from chunks)
+select doc_id, chunk_index,
+       case when chunk_index = 0 then chunk else array_to_string(
+         lag(ws[greatest(1, len(ws) - {overlap - 1}) :]) over (partition by doc_id order by chunk_index), ' ')
+         || ' ' || chunk end as chunk_text
+from words"""
+
+
 LONG = "long as (" + " union all ".join(
     f"select filename, cik, year, '{s}' as section, {i} as section_pos, {s} as text from wide"
     for i, s in enumerate(SEARCH_SECTIONS)
@@ -126,6 +204,63 @@ hits as (
   from scored qualify rank <= {k})"""
 
 
+QUESTIONS = "questions as (select item_id as query_id, query, year from {source})"
+PLAIN = f"""plain as (select query_id, trim(regexp_replace(query, '{WS}+', ' ', 'g')) as query
+          from questions)"""
+
+
+def _keyword_hits(k: int) -> str:
+    """``kw_hits``: BM25 of ``plain`` questions over all chunks of the year, statistics over all."""
+    return f"""
+kw_chunk as (select *, string_split(lower(text), ' ') as ws from chunks),
+kw_tf as (select chunk_id, word, count(*) as tf
+          from (select chunk_id, unnest(ws) as word from kw_chunk) group by 1, 2),
+kw_df as (select word, count(*) as df from kw_tf group by 1),
+kw_all as (select count(*) as n, avg(len(ws)) as average from kw_chunk),
+kw_asked as (select query_id, word, count(*) as qtf
+             from (select query_id, unnest(string_split(lower(query), ' ')) as word from plain)
+             where word <> '' group by 1, 2),
+kw_scored as (
+  select a.query_id, c.chunk_id,
+         round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+                   / (tf + 1.2 * (0.25 + 0.75 * len(c.ws) / average))), 9) as score
+  from kw_asked a join kw_df using (word) join kw_tf using (word)
+  join kw_chunk c using (chunk_id) join questions q on q.query_id = a.query_id and q.year = c.year, kw_all
+  group by 1, 2),
+kw_hits as (
+  select s.query_id,
+         cast(row_number() over (partition by s.query_id order by score desc, filename,
+                                 section_pos, chunk_index) as int) as rank,
+         concat(substring(text, 1, 200), '...') as chunk, text as full_text,
+         year, cik, filename, section, chunk_id, round(score, 6) as similarity_score,
+         score as exact_score
+  from kw_scored s join chunks using (chunk_id) qualify rank <= {k})"""
+
+
+def _fused(vector_gain: str, keyword_gain: str, k: int) -> str:
+    """Both lists of twenty hits fused by their gains."""
+    columns = "chunk, full_text, year, cik, filename, section"
+    return f"""with {_wide_chunks()}, {ITEMS}, {QUESTIONS.format(source="asked_items")},
+{_hits(20, "questions")}, {_keyword_hits(20)},
+vector_hits as (select h.*, s.score as exact_score
+                from hits h join scored s using (query_id, chunk_id)),
+gains as (
+  select query_id, chunk_id, {columns}, {vector_gain} as gain from vector_hits
+  union all select query_id, chunk_id, {columns}, {keyword_gain} from kw_hits),
+fused as (select query_id, chunk_id, {", ".join(f"any_value({c}) as {c}" for c in columns.split(", "))},
+                 round(sum(gain), 9) as score from gains group by 1, 2)
+select query_id,
+       cast(row_number() over (partition by query_id order by score desc, chunk_id) as int) as rank,
+       {columns}, chunk_id, round(score, 6) as similarity_score
+from fused qualify rank <= {k}"""
+
+
+def _scaled(weight: float) -> str:
+    own = "over (partition by query_id)"
+    low, high = f"min(exact_score) {own}", f"max(exact_score) {own}"
+    return f"{weight}::double * case when {high} = {low} then 1 else (exact_score - {low}) / ({high} - {low}) end"
+
+
 FIRST = """first_filing as (
   select * from wide
   qualify row_number() over (partition by year order by filename) = 1)"""
@@ -135,7 +270,6 @@ KEPT = "kept as (" + " union all ".join(
     f"where i.expected_section = '{s}' and f.{s} is not null"
     for s in ("section_8", "section_10")
 ) + ")"
-QUESTIONS = "questions as (select item_id as query_id, query, year from {source})"
 CHECKED = f"""with {_wide_chunks()}, {ITEMS}, {FIRST}, {KEPT},
 {QUESTIONS.format(source="kept")}, {_hits(3, "questions")},
 checked as (
@@ -243,6 +377,10 @@ from range(8) a(i), range(8) b(j)""",
     "kmeans_nearest": """
 select count(*) as n_rows, 0 as n_not_nearest, count(distinct vec_id) as n_members
 from embeddings""",
+    "bm25_search": f"""with {_wide_chunks()}, {ITEMS}, {QUESTIONS.format(source="asked_items")},
+{PLAIN}, {_keyword_hits(5)} select * exclude (exact_score) from kw_hits""",
+    "hybrid_search": _fused("1.0::double / (60 + rank)", "1.0::double / (60 + rank)", 5),
+    "hybrid_search_weighted": _fused(_scaled(0.7), _scaled(0.3), 5),
     "search_empty_year": f"""with {_wide_chunks()}, {ITEMS},
 {QUESTIONS.format(source="asked_items")}, {_hits(5, "questions")} select * from hits where false""",
     "ask_one": f"""with {_wide_chunks()},
@@ -260,6 +398,31 @@ union all select 'chunks', count(*) from chunks""",
 from ({_windows("documents", "doc_id", "text", 50)})""",
     "chunk_overlap": f"""select doc_id, cast(chunk_index as int) as chunk_index, chunk as chunk_text
 from ({_windows("documents", "doc_id", "text", 50, 10)})""",
+    "chunk_sentences": f"""with recursive {WHOLE}, {_split_sentences("found", "paragraphs")},
+{_cut_long("pieces", "found", 60)}, ordered as (select *, 0 as topic from pieces),
+{_filled("chunks", "ordered", 60)}
+select doc_id, chunk_index, chunk as chunk_text from chunks""",
+    "chunk_recursive": _recursive(60, 10),
+    "chunk_semantic": f"""with recursive {WHOLE}, {_split_sentences("found", "paragraphs")},
+{_cut_long("pieces", "found", 60)},
+keyed as (select *, doc_id || '_' || nth as piece_id from pieces),
+{_embed("vec", "keyed", "piece_id", "piece")},
+norms as (select piece_id, sqrt(sum(weight * weight)) as norm from vec group by 1),
+dots as (select a.piece_id, sum(x.weight * y.weight) as dot
+         from keyed a join keyed b on b.doc_id = a.doc_id and b.nth = a.nth + 1
+         join vec x on x.piece_id = a.piece_id join vec y on y.piece_id = b.piece_id and y.bucket = x.bucket
+         group by 1),
+apart as (select b.doc_id, b.nth, round(1 - coalesce(dot, 0) / (x.norm * y.norm), 9) + 0.0 as distance
+          from keyed a join keyed b on b.doc_id = a.doc_id and b.nth = a.nth + 1
+          join norms x on x.piece_id = a.piece_id join norms y on y.piece_id = b.piece_id
+          left join dots d on d.piece_id = a.piece_id),
+limits as (select doc_id, round(quantile_cont(distance, 0.9), 9) as top from apart group by 1),
+ordered as (
+  select k.doc_id, k.nth, piece, n,
+         sum(coalesce(distance > top, false)::int) over (partition by k.doc_id order by k.nth) as topic
+  from keyed k left join apart a on a.doc_id = k.doc_id and a.nth = k.nth left join limits l on l.doc_id = k.doc_id),
+{_filled("chunks", "ordered", 60)}
+select doc_id, chunk_index, chunk as chunk_text from chunks""",
     "chunk_raw": f"""with {RAW}, {_sections()},
 chunks as ({_windows("sections", "doc_id, section_title", "section_text", 500)})
 select cik, company_name, filing_type, year, section_title, chunk as chunk_text,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from docspark.functions import vectors as v
-from docspark.operators import chunk, cluster, evaluate, plots, profile, search, select
+from docspark.operators import chunk, cluster, evaluate, keyword, plots, profile, search, select, split
 from docspark.operators.embed import Encoder, embed, hash_bow, with_vector
 from docspark.operators.sections import extract_sections
 from docspark.plans.explore import explore
@@ -180,6 +180,25 @@ def chunk_overlap(spark, sf):
     return chunk.chunk_words(documents, size=50, overlap=10)
 
 
+@query
+def chunk_sentences(spark, sf):
+    documents = fx.documents(spark, sf).select("doc_id", "text")
+    return split.chunk_sentences(documents, size=60)
+
+
+@query
+def chunk_recursive(spark, sf):
+    """Lines are paragraphs here."""
+    documents = fx.documents(spark, sf).select("doc_id", "text")
+    return split.chunk_recursive(documents, size=60, overlap=10, paragraph=r"\n")
+
+
+@query
+def chunk_semantic(spark, sf):
+    documents = fx.documents(spark, sf).select("doc_id", "text")
+    return split.chunk_semantic(documents, hash_bow(), percentile=0.9, size=60)
+
+
 @query
 def chunk_raw(spark, sf):
     return chunk.chunk_raw(fx.filings_raw(spark, sf))
@@ -420,6 +439,41 @@ def semantic_search(spark, sf):
     return search_hits(spark, sf).withColumn("similarity_score", rounded("similarity_score", 6))
 
 
+def questions(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.items(spark, sf).select(F.col("item_id").alias("query_id"), "query", "year")
+
+
+@query
+def bm25_search(spark, sf):
+    """All questions by keywords, on an index that was written and read back."""
+    path = staging.new_folder(spark, "keyword_index")
+    keyword.build(chunk.chunk_wide(wide(spark, sf))).save(path)
+    hits = keyword.search(keyword.load(spark, path), questions(spark, sf), 5)
+    return hits.withColumn("similarity_score", rounded("similarity_score", 6))
+
+
+def both_lists(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The twenty best hits of every question, by vectors and by keywords."""
+    chunks, _ = staging.stage(index_chunks(wide(spark, sf), hash_bow()), "chunks")
+    asked = questions(spark, sf)
+    by_vector = search.search(chunks, asked, hash_bow(), 20)
+    return [by_vector, keyword.search(keyword.build(chunks.drop("embedding")), asked, 20)]
+
+
+@query
+def hybrid_search(spark, sf):
+    """Reciprocal rank fusion of both lists."""
+    hits = keyword.fuse(both_lists(spark, sf), 5)
+    return hits.withColumn("similarity_score", rounded("similarity_score", 6))
+
+
+@query
+def hybrid_search_weighted(spark, sf):
+    """Scores scaled within each list, keywords at three tenths."""
+    hits = keyword.fuse(both_lists(spark, sf), 5, how="minmax", weights=[0.7, 0.3])
+    return hits.withColumn("similarity_score", rounded("similarity_score", 6))
+
+
 @query
 def search_empty_year(spark, sf):
     chunks = index_chunks(wide(spark, sf), hash_bow())

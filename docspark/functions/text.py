@@ -29,6 +29,20 @@ WS = rf"[[^!-~\x{{a1}}-\x{{167f}}]&&{_SPACES}]"
 # White space other than the plain blank.
 _ODD_WS = rf"[[^ -~\x{{a1}}-\x{{167f}}]&&{_SPACES}]"
 
+# Abbreviations that end no sentence; initials such as J. and U.S. don't either.
+ABBREVIATIONS = (
+    "Mr", "Mrs", "Ms", "Dr", "Prof", "Rev", "Gen", "Sen", "Rep", "Gov", "St", "Jr", "Sr",
+    "Inc", "Corp", "Co", "Ltd", "Bros", "No", "Nos", "Art", "Sec", "Fig", "Vol", "pp", "p", "vs", "cf",
+    "al", "approx", "e.g", "i.e", "Jan", "Feb", "Mar", "Apr", "Jun", "Jul", "Aug", "Sep", "Sept", "Oct",
+    "Nov", "Dec",
+)
+_SHORT = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
+# What a sentence ends with, what abbreviations look like, and what the next one starts with.
+SENTENCE_END = r"[.!?][)\]\"'”’]{0,3}"
+ABBREVIATED = rf"(?:{_SHORT}|\p{{Lu}}(?:\.\p{{Lu}}){{0,4}})\."
+SENTENCE_START = r"[\"'(\[“‘]?[\p{Lu}\p{Nd}]"
+_SENTENCE_GAP = rf" (?<={SENTENCE_END} )(?<!(?<![\p{{L}}\p{{Nd}}.]){ABBREVIATED} )(?={SENTENCE_START})"
+
 # The two forms of a section header, an item number or a part number.
 _HEADER = rf"(?:ITEM{WS}+\p{{Nd}}+[A-Z]?\.?|PART{WS}+[IVXLCDM]+)"
 # Case-insensitive in Unicode, ^ and $ at lines, and only \n ends a line.
@@ -47,6 +61,16 @@ def collapse(text: Column) -> Column:
     return F.btrim(single.otherwise(blanks))
 
 
+def sentences(plain: Column) -> Column:
+    """Array of the sentences of a collapsed text.
+
+    A sentence ends behind ``.``, ``!`` or ``?`` and closing marks if a capital or a digit
+    follows, but not behind an abbreviation or initials.  The pattern begins with the blank, so
+    what lies around it is looked at between words only.
+    """
+    return F.split(plain, _SENTENCE_GAP, -1)
+
+
 def has_text(text: Column) -> Column:
     """Neither null nor blank; the search ends at the first character that is no space."""
     return F.coalesce(F.regexp_like(text, F.lit(rf"(?s)(?!{WS}).")), F.lit(False))
