@@ -454,6 +454,35 @@ select 'filings' as stage, count(*) as n_rows from chosen
 union all select 'chunks', count(*) from chunks
 union all select 'embedded', count(*) from chunks
 union all select 'clustered', count(*) from chunks""",
+    "choose_k": """with points as (
+  select vec_id, cast(embedding as double[]) as e, label % k as cluster, k
+  from embeddings, (values (2), (3), (5), (10)) as ks(k)),
+sizes as (select k, cluster, count(*) as n from points group by 1, 2),
+apart as (
+  select a.k, a.vec_id, a.cluster, b.cluster as other, sum(list_distance(a.e, b.e) ** 2) as total
+  from points a join points b on a.k = b.k group by 1, 2, 3, 4),
+means as (
+  select a.k, vec_id, a.cluster,
+         max(case when other = a.cluster then total / nullif(own.n - 1, 0) end) as inside,
+         min(case when other <> a.cluster then total / s.n end) as near
+  from apart a join sizes s on s.k = a.k and s.cluster = other
+  join sizes own on own.k = a.k and own.cluster = a.cluster group by 1, 2, 3),
+counts as (select k, cast(count(*) as int) as n_clusters from sizes group by 1)
+select k, n_clusters, round(avg(coalesce((near - inside) / greatest(near, inside), 0)), 6) + 0.0 as silhouette
+from means join counts using (k) group by 1, 2""",
+    "elbow": f"""with {CELLS},
+placed as (select *, label % k as cluster from cells, (values (2), (3), (5), (10)) as ks(k)),
+means as (select k, cluster, dim, avg(x) as m from placed group by 1, 2, 3),
+costs as (select k, sum((x - m) * (x - m)) as cost
+          from placed join means using (k, cluster, dim) group by 1),
+ends as (select min(k) as k0, max(k) as k1, max_by(cost, -k) as c0, max_by(cost, k) as c1 from costs),
+away as (select k, cost, (1 - (k - k0) / (k1 - k0) - (cost - c1) / (c0 - c1)) / sqrt(2) as distance
+         from costs, ends)
+select k, round(cost, 4) as cost, round(distance, 6) + 0.0 as distance,
+       row_number() over (order by distance desc, k) = 1 as is_elbow
+from away""",
+    "choose_k_fitted": """select k, k as n_clusters, true as in_range
+from (values (2), (3), (5), (7)) as ks(k)""",
     "center_distance": f"""with {DISTANCES}
 select vec_id, prediction, round(cast(distance_to_center as double), 4) as distance_to_center
 from distances""",

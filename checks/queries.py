@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from docspark.functions import vectors as v
-from docspark.operators import chunk, cluster, evaluate, keyword, plots, profile, search, select, split
+from docspark.operators import choose, chunk, cluster, evaluate, keyword, plots, profile, search, select, split
 from docspark.operators.embed import Encoder, embed, hash_bow, with_vector
 from docspark.operators.sections import extract_sections
 from docspark.plans.explore import explore
@@ -363,6 +363,35 @@ def outliers(spark, sf):
     )
 
 
+def clusterings(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[int, str]]:
+    """The labels in two, three, five and ten clusters: no fit is involved."""
+    assigned = {k: f"in_{k}" for k in (2, 3, 5, 10)}
+    return embeddings(spark, sf).withColumns({c: F.col("label") % k for k, c in assigned.items()}), assigned
+
+
+@query
+def choose_k(spark, sf):
+    scores = choose.silhouettes(*clusterings(spark, sf), "embedding")
+    return scores.select("k", "n_clusters", rounded("silhouette", 6))
+
+
+@query
+def elbow(spark, sf):
+    found = choose.elbow(*clusterings(spark, sf), "embedding")
+    return found.select("k", rounded("cost", 4), rounded("distance", 6), "is_elbow")
+
+
+@query
+def choose_k_fitted(spark, sf):
+    """Fits for four numbers of clusters; each has as many clusters as asked for."""
+    vectors = with_vector(embeddings(spark, sf))
+    scaled = cluster.fit_scaler(vectors).transform(vectors)
+    reduced = cluster.first_two(cluster.fit_pca(scaled).transform(scaled))
+    scores = choose.choose_k(reduced, (2, 3, 5, 7)).scores
+    between = F.col("silhouette").between(-1, 1) & (F.col("cost") > 0)
+    return scores.select("k", "n_clusters", between.alias("in_range"))
+
+
 @query
 def explore_filings(spark, sf):
     return explore(fx.filings_raw(spark, sf), hash_bow()).plots["combined"]

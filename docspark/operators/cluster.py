@@ -50,15 +50,13 @@ def first_two(
     return df.withColumn(into, array_to_vector(F.slice(vector_to_array(column), 1, 2)))
 
 
-def fit_kmeans(
+def laid_out(
     df: DataFrame,
-    k: int = 7,
-    seed: int = 1,
     column: str = "pca_features_2d",
     identity: str = "embedding",
     partitions: int = FIT_PARTITIONS,
-) -> KMeansModel:
-    """K-means on the two-dimensional points, the same on every cluster.
+) -> DataFrame:
+    """Two-dimensional points (``column``, weight ``n``) in an order of their own.
 
     Copies are counted first (128 hash bits of ``identity`` name a point, combined per
     task) and become one weighted point, so a large group of copies is one row.  Start
@@ -77,11 +75,21 @@ def fit_kmeans(
         .agg(F.first("x").alias("x"), F.first("y").alias("y"), F.count(F.lit(1)).alias("n"))
     )
     points, _ = stage(points, "points")
-    laid_out = points.repartition(partitions, "h1", "h2")
-    laid_out = laid_out.sortWithinPartitions("h1", "h2").select(
-        array_to_vector(F.array("x", "y")).alias(column), F.col("n").cast("double").alias("n")
-    )
-    return KMeans(k=k, seed=seed, featuresCol=column, weightCol="n").fit(laid_out)
+    ordered = points.repartition(partitions, "h1", "h2").sortWithinPartitions("h1", "h2")
+    return ordered.select(array_to_vector(F.array("x", "y")).alias(column), F.col("n").cast("double").alias("n"))
+
+
+def fit_kmeans(
+    df: DataFrame,
+    k: int = 7,
+    seed: int = 1,
+    column: str = "pca_features_2d",
+    identity: str = "embedding",
+    partitions: int = FIT_PARTITIONS,
+) -> KMeansModel:
+    """K-means on the two-dimensional points, the same on every cluster."""
+    points = laid_out(df, column, identity, partitions)
+    return KMeans(k=k, seed=seed, featuresCol=column, weightCol="n").fit(points)
 
 
 def center_table(model: KMeansModel, like: DataFrame) -> DataFrame:
