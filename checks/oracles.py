@@ -381,6 +381,51 @@ from embeddings""",
 {PLAIN}, {_keyword_hits(5)} select * exclude (exact_score) from kw_hits""",
     "hybrid_search": _fused("1.0::double / (60 + rank)", "1.0::double / (60 + rank)", 5),
     "hybrid_search_weighted": _fused(_scaled(0.7), _scaled(0.3), 5),
+    "search_expanded": f"""with {_wide_chunks()}, {ITEMS}, {QUESTIONS.format(source="asked_items")}, {PLAIN},
+bench as (select string_split(lower(text), ' ') as ws from benchmark),
+synonyms as (
+  select word, synonym, max(weight) as weight
+  from (select ws[1] as word, ws[2] as synonym, 0.9::double as weight from bench
+        union all select ws[1], ws[3], 0.5::double from bench)
+  where synonym is not null group by 1, 2),
+asked as (select query_id, ws, unnest(range(1, len(ws) + 1)) as i
+          from (select query_id, string_split(query, ' ') as ws from plain)),
+worded as (
+  select query_id, query, 1.0::double as weight from plain
+  union all
+  select query_id, array_to_string(list_concat(ws[1 : i - 1], [synonym], ws[i + 1 :]), ' '), weight
+  from asked join synonyms on lower(ws[i]) = word),
+wordings as (select query_id, query, max(weight) as weight, query_id || '_' || query as wording
+             from worded group by 1, 2),
+{_embed("chunk_vec", "chunks", "chunk_id", "text")},
+{_embed("query_vec", "wordings", "wording", "query")},
+chunk_norm as (select chunk_id, sqrt(sum(weight * weight)) as n from chunk_vec group by 1),
+query_norm as (select wording, sqrt(sum(weight * weight)) as n from query_vec group by 1),
+dots as (select wording, chunk_id, sum(q.weight * c.weight) as dot
+         from query_vec q join chunk_vec c using (bucket) group by 1, 2),
+scored as (
+  select q.query_id, c.chunk_id,
+         max(round(w.weight * round(coalesce(d.dot, 0) / (qn.n * cn.n), 9), 9)) as score
+  from questions q join wordings w using (query_id) join chunks c on c.year = q.year
+  join query_norm qn using (wording) join chunk_norm cn on cn.chunk_id = c.chunk_id
+  left join dots d on d.wording = w.wording and d.chunk_id = c.chunk_id group by 1, 2)
+select query_id,
+       cast(row_number() over (partition by query_id order by score desc, filename,
+                               section_pos, chunk_index) as int) as rank,
+       concat(substring(text, 1, 200), '...') as chunk, text as full_text,
+       year, cik, filename, section, chunk_id, round(score, 6) as similarity_score
+from scored join chunks using (chunk_id) qualify rank <= 5""",
+    "search_reranked": f"""with {_wide_chunks()}, {ITEMS}, {QUESTIONS.format(source="asked_items")},
+{_hits(20, "questions")},
+again as (
+  select h.*, round(len(list_intersect(q, t)) / len(q), 9) as score
+  from (select h.* exclude (similarity_score),
+               list_distinct(regexp_extract_all(lower(p.query), '{NOT_WS}+')) as q,
+               list_distinct(regexp_extract_all(lower(full_text), '{NOT_WS}+')) as t
+        from hits h join plain p using (query_id)) h)
+select query_id, cast(row_number() over (partition by query_id order by score desc, rank) as int) as rank,
+       chunk, full_text, year, cik, filename, section, chunk_id, round(score, 6) as similarity_score
+from again qualify row_number() over (partition by query_id order by score desc, rank) <= 5""",
     "search_empty_year": f"""with {_wide_chunks()}, {ITEMS},
 {QUESTIONS.format(source="asked_items")}, {_hits(5, "questions")} select * from hits where false""",
     "ask_one": f"""with {_wide_chunks()},

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from docspark.functions import vectors as v
-from docspark.operators import choose, chunk, cluster, evaluate, keyword, plots, profile, search, select, split
+from docspark.operators import choose, chunk, cluster, evaluate, keyword, plots, profile, refine, search, select, split
 from docspark.operators.embed import Encoder, embed, hash_bow, with_vector
 from docspark.operators.sections import extract_sections
 from docspark.plans.explore import explore
@@ -503,6 +503,27 @@ def hybrid_search_weighted(spark, sf):
     return hits.withColumn("similarity_score", rounded("similarity_score", 6))
 
 
+@query
+def search_expanded(spark, sf):
+    """Words that follow each other in the benchmark stand for each other."""
+    words = F.split(F.lower("text"), " ")
+    pairs = fx.table(spark, sf, "benchmark").select(
+        F.explode(F.array(*[F.struct(words[0].alias("word"), words[i].alias("synonym"), F.lit(w).alias("weight")) for i, w in ((1, 0.9), (2, 0.5))])).alias("pair")
+    )
+    pairs = pairs.select("pair.*").groupBy("word", "synonym").agg(F.max("weight").alias("weight"))
+    chunks, _ = staging.stage(index_chunks(wide(spark, sf), hash_bow()), "chunks")
+    hits = refine.search_expanded(chunks, questions(spark, sf), pairs, hash_bow(), 5)
+    return hits.withColumn("similarity_score", rounded("similarity_score", 6))
+
+
+@query
+def search_reranked(spark, sf):
+    """Twenty hits by cosine, five of them by the words they share with the question."""
+    chunks, _ = staging.stage(index_chunks(wide(spark, sf), hash_bow()), "chunks")
+    hits = refine.search_reranked(chunks, questions(spark, sf), hash_bow(), refine.word_overlap(), 5)
+    return hits.withColumn("similarity_score", rounded("similarity_score", 6))
+
+
 @query
 def search_empty_year(spark, sf):
     chunks = index_chunks(wide(spark, sf), hash_bow())
