@@ -40,7 +40,7 @@ SALTS = 32
 
 # The elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style xmp iframe noembed noframes noscript template title textarea svg math".split())
+RAW = frozenset("script style xmp iframe noembed noframes noscript template title textarea svg".split())
 BLOCK = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre
@@ -48,7 +48,7 @@ BLOCK = frozenset(
 )
 NOISE = frozenset(
     """head nav footer aside form button select menu dialog search audio video canvas object map fieldset
-    datalist""".split()
+    datalist annotation annotation-xml""".split()
 )
 # Words of class, id and role attributes that name what is no content.
 NOISE_WORDS = frozenset(
@@ -58,6 +58,13 @@ NOISE_WORDS = frozenset(
     discussion share sharing social related recommended recommendations widget toolbar pagination pager search form
     contentinfo complementary alert dialog skip""".split()
 )
+# Inside an article a class has to be such a word, or made of such words and of these.
+LAYOUT_WORDS = frozenset(
+    """area bar block box button buttons container content footer form header icons inline inner item items large link
+    links list outer panel post posts row section slot small thread title top unit wrap wrapper zone""".split()
+)
+# Headings and sections get their ids from their titles.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 # Of these, the ones that make an article element no article.
 NO_ARTICLE = frozenset("ad ads comment comments promo related recommended respond sponsored widget".split())
 # Words with which a class says what a wrapper has beside its content, as in has-sidebar.
@@ -83,13 +90,15 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z]+")
+# Where elements whose content is no markup end.
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in RAW}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 @dataclass
 class Element:
     tag: str
-    path: str
+    path: int  # of a running hash, so that deep pages take no more room
     block: bool
     noise: bool
     landmark: str  # article, main or nothing
@@ -101,8 +110,8 @@ class Element:
 class Page:
     """Blocks (path, noise, landmark, share of links, text) and presentations by path."""
 
-    blocks: list[tuple[str, bool, str, float, str]] = field(default_factory=list)
-    styles: dict[str, set[str]] = field(default_factory=dict)
+    blocks: list[tuple[int, bool, str, float, str]] = field(default_factory=list)
+    styles: dict[int, set[str]] = field(default_factory=dict)
 
 
 @lru_cache(50_000)
@@ -110,22 +119,41 @@ def key_of(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+@dataclass(frozen=True)
+class Attributes:
+    words: frozenset[str]  # of class, id and role
+    names: frozenset[str]  # classes and roles as they stand, and the id unless it may be a title
+    role: str
+    hidden: bool
+
+
 @lru_cache(20_000)
-def _attributes(tag: str, source: str) -> tuple[frozenset[str], str, bool]:
-    """Words of class, id and role; the role; whether the element is hidden."""
+def _attributes(tag: str, source: str) -> Attributes:
     words: set[str] = set()
+    names: set[str] = set()
     role, hidden = "", False
     for name, value in _ATTRIBUTE.findall(source):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role"):
             words.update(_WORD.findall(value))
+            if name != "id" or tag not in TITLED:
+                names.update(value.split())
         if name == "role":
             role = value
         hidden |= name == "hidden" or (name == "aria-hidden" and value == "true")
         hidden |= name == "style" and bool(_HIDDEN.search(value))
         if name == "itemprop" and value == "articlebody":
             role = "article"
-    return frozenset(words), role, hidden
+    return Attributes(frozenset(words), frozenset(names), role, hidden)
+
+
+def _names_noise(names: frozenset[str]) -> bool:
+    """Whether one of the names says nothing but what is no content, as in comment-list."""
+    for name in names:
+        words = set(_WORD.findall(name))
+        if words & NOISE_WORDS and words <= NOISE_WORDS | LAYOUT_WORDS:
+            return True
+    return False
 
 
 class Reader:
@@ -133,13 +161,13 @@ class Reader:
 
     def __init__(self) -> None:
         self.page = Page()
-        self.root = Element("", "", True, False, "", False)
+        self.root = Element("", 0, True, False, "", False)
         self.open = [self.root]
         self.text: list[str] = []
         self.linked = 0
 
     def read(self, html: str) -> Page:
-        at, lower = 0, ""
+        at = 0
         while found := _TOKEN.search(html, at):
             self._chars(html[at : found.start()])
             at = found.end()
@@ -149,11 +177,13 @@ class Reader:
             if found[1] or found[4]:
                 self._end(tag)
                 continue
-            self._start(tag, found[3] or found[6] or "")
+            source = found[3] or found[6] or ""
+            if tag == "svg" and source.endswith("/"):
+                continue
+            self._start(tag, source)
             if tag in RAW:  # its content is neither markup nor text
-                lower = lower or html.lower()
-                close = lower.find(f"</{tag}", at)
-                end = _TOKEN.match(html, close) if close >= 0 else None
+                close = _RAW_ENDS[tag].search(html, at)
+                end = _TOKEN.match(html, close.start()) if close else None
                 at = end.end() if end else len(html)
                 self._end(tag)
         self._chars(html[at:])
@@ -193,23 +223,25 @@ class Reader:
         if tag in VOID:
             return
         up = self.open[-1]
-        words, role, hidden = _attributes(tag, source)
+        own = _attributes(tag, source)
+        words, role = own.words, own.role
         landmark = up.landmark
         if tag == "article" or role == "article":
             landmark = "article"
         elif (tag == "main" or role == "main") and not landmark:
             landmark = "main"
-        noise = up.noise or tag in RAW or tag in NOISE or hidden
+        noise = up.noise or tag in RAW or tag in NOISE or own.hidden
         noise |= tag == "header" and up.landmark != "article"
         if tag == "article":
             noise |= bool(words & NO_ARTICLE)
+        elif up.landmark == "article":
+            noise |= _names_noise(own.names)
         elif tag not in ("html", "body", "main") and not words & BESIDE:
             noise |= bool(words & NOISE_WORDS)
         noise |= "header" in words and tag != "header" and up.landmark != "article"
         path = up.path
         if block:
-            names = ".".join(sorted(words)[:4])
-            path = f"{up.path}/{tag}.{names}"
+            path = key_of(f"{up.path}/{tag}.{'.'.join(sorted(words))}")
             above = self._block()
             if not above.children or above.children[-1] != tag:
                 above.children.append(tag)
@@ -259,7 +291,7 @@ def read(html: str) -> Page:
     return Reader().read(html)
 
 
-def candidates(page: Page) -> tuple[list[tuple[str, str]], list[bool]]:
+def candidates(page: Page) -> tuple[list[tuple[int, str]], list[bool]]:
     """The blocks (path, text) that the markup allows, and which of them it marks as article."""
     plain = [b for b in page.blocks if not b[1]]
     kept = [b for b in plain if b[2]] or [b for b in plain if b[3] < 0.8]
@@ -274,9 +306,9 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = read(html.as_py() or "")
             own = key_of(host)
             for path, styles in page.styles.items():
-                rows.append((own, key_of(path), key_of("|".join(sorted(styles))), True))
+                rows.append((own, path, key_of("|".join(sorted(styles))), True))
             for path, text in {(b[0], b[4]) for b in page.blocks}:
-                rows.append((own, key_of(path), _long(text), False))
+                rows.append((own, path, _long(text), False))
         columns = list(zip(*rows)) or [[]] * 4
         kinds = [pa.int64()] * 3 + [pa.bool_()]
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
@@ -292,7 +324,7 @@ def _page_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, texts, certain, hosts = [], [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
             blocks, sure = candidates(read(html.as_py() or ""))
-            nodes.append([key_of(path) for path, _ in blocks])
+            nodes.append([path for path, _ in blocks])
             texts.append([text.encode("utf-8", "replace").decode() for _, text in blocks])
             certain.append(sure)
             hosts.append(key_of(host))

@@ -65,3 +65,40 @@ def test_tree_judges_main_outside_its_articles(spark):
     found = {r.page_id: r.text for r in html.extract(pages).collect()}
     for i in range(20):
         assert found[i] == f"Text of number {i}" + "\nSame teaser" * (i % 2)
+
+
+def test_nothing_is_lost_behind_raw_elements():
+    assert text_of("<article><p>İİİ</p><script>x</script><p>after</p></article>") == "İİİ\nafter"
+    assert text_of("<article><p>a</p><style>x</STYLE ><p>b</p></article>") == "a\nb"
+    assert text_of("<title>x</titlefoo></title><p>after</p>") == "after"
+    assert text_of('<article><p>a</p><svg viewBox="0"/><p>after</p><svg><text>t</text></svg>end</article>') == "a\nafter\nend"
+
+
+def test_formulas_stay_in_their_sentence():
+    page = "<article><p>Let <math><mi>x</mi><annotation>x_tex</annotation></math> be</p></article>"
+    assert text_of(page) == "Let x be"
+
+
+def test_article_text_is_not_cut_by_words_of_its_ids():
+    page = """<article><h2 id="related-work">Related work</h2><section id="discussion"><p>We discuss.</p></section>
+    <section id="search-algorithms">Search</section><p class="notice-period">Two weeks</p>
+    <div class="comment-list"><p>first!</p></div><div id="comments">second!</div><div class="social share">s</div></article>"""
+    assert text_of(page) == "Related work\nWe discuss.\nSearch\nTwo weeks"
+
+
+def test_deep_nesting_takes_little_room():
+    depth = 40_000
+    page = html.read("<div class=a>" * depth + "text" + "</div>" * depth)
+    assert [b[4] for b in page.blocks] == ["text"]
+
+
+def test_nodes_differ_in_every_word_of_their_names():
+    page = html.read('<div class="a b c d e">x</div><div class="a b c d f">y</div>')
+    assert len({b[0] for b in page.blocks}) == 2
+
+
+def test_a_page_without_id_and_a_long_page(spark):
+    rows = [(None, "http://h/1", "<p>one</p>"), (2, "http://h/2", "<p>" + "long " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.n_chars for r in html.extract(pages).collect()}
+    assert found == {None: 3, 2: 999_999}
