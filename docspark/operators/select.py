@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from docspark.sources.staging import stage
+
 
 def first_companies(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` distinct companies in ``cik`` order."""
@@ -32,10 +34,15 @@ def in_year(df: DataFrame, year: int) -> DataFrame:
 def first_per_year(df: DataFrame, order_by: str = "filename") -> DataFrame:
     """One filing per year, the first by name; an empty year gives no row.
 
-    Filings without a name come last, equal names go by the other columns.  The smallest row
-    of each year is an aggregate: every task brings one row per year to the shuffle.
+    Filings without a name come last, equal names go by the other columns.  The first name of
+    each year is found on two narrow columns and written, a row per year, so the planner knows
+    the size of what it joins; only filings of that name are compared as a whole.
     """
     rest = [c for c in df.columns if c not in ("year", order_by)]
-    smallest = F.min(F.struct(F.col(order_by).isNull().alias("unnamed"), order_by, *rest)).alias("row")
-    first = df.where(F.col("year").isNotNull()).groupBy("year").agg(smallest)
-    return first.select(*[F.col(c) if c == "year" else F.col("row")[c].alias(c) for c in df.columns])
+    dated = df.where(F.col("year").isNotNull())
+    name = F.struct(F.col(order_by).isNull().alias("unnamed"), F.col(order_by).alias("name"))
+    names = dated.groupBy("year").agg(F.min(name).alias("_first")).select("year", F.col("_first.name").alias("_first"))
+    names, _ = stage(names, "first_names")
+    named = dated.join(names, (dated["year"] == names["year"]) & dated[order_by].eqNullSafe(names["_first"]), "left_semi")
+    first = named.groupBy("year", order_by).agg(F.min(F.struct(*rest)).alias("row") if rest else F.count("*").alias("row"))
+    return first.select(*[F.col("row")[c].alias(c) if c in rest else F.col(c) for c in df.columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from docspark import schemas
@@ -143,11 +145,10 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     cannot be split, so one file is one task: this is the import format, and large tables
     belong in Parquet.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in files.where("length > 0").select("path").orderBy("path").toLocalIterator():
-        header = spark.read.options(**_CSV).csv(row.path).columns
-        by_header.setdefault(tuple(header), []).append(row.path)
+    for paths in _alike(spark, path):
+        header = spark.read.options(**_CSV).csv(paths[0]).columns
+        by_header.setdefault(tuple(header), []).extend(paths)
     text = None
     for paths in by_header.values():
         part = spark.read.options(**_CSV).csv(paths)
@@ -160,6 +161,23 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return text
 
 
+def _alike(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files in groups that begin with the same line; all first lines come from one distributed pass.
+
+    Files whose first line ends inside quotes are groups of their own.
+    """
+    place = F.col("_metadata")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).where("value <> ''")
+    starts = lines.where(place["file_block_start"] == 0).select(place["file_path"].alias("file"), "value")
+    # Only one task reads the beginning of a file, and reads it in order.
+    heads = starts.groupBy("file").agg(F.first("value").alias("head")).orderBy("file")
+    groups: dict[str, list[str]] = {}
+    for row in heads.toLocalIterator():
+        alike = row.head if row.head.count('"') % 2 == 0 else f"{row.head}\n{row.file}"
+        groups.setdefault(alike, []).append(unquote(row.file))
+    return list(groups.values())
+
+
 def write_csv(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(**{**_CSV, "emptyValue": ""}).csv(path)
 

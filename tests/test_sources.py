@@ -162,3 +162,22 @@ def test_spread_only_deals_out_small_scans(spark, tmp_path):
     assert one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 9)
     assert src.spread(wide) is wide
+
+
+def test_csv_headers_take_one_pass(spark, tmp_path):
+    """Many files of few kinds, odd names, a header over two lines, an empty file."""
+    names = ["a.csv", "b c%20+.csv", "d/e.csv", "q.csv", "two lines.csv", "empty.csv"]
+    texts = [
+        'filename,cik,year,section_1\nf0,1,2019,"x\ny"\n',
+        "\nfilename,cik,year,section_1\nf1,1,2019,z\n",
+        "year,section_1,filename,cik\n2020,w,f2,1\n",
+        'filename,cik,year,"section_1"\nf3,1,2018,v\n',
+        'filename,cik,year,"section\n_1"\nf4,1,2018,v\n',
+        "",
+    ]
+    for name, text in zip(names, texts):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    found = {r.filename: (r.year, r.section_1) for r in src.read_csv(spark, str(tmp_path)).collect()}
+    assert found == {"f0": (2019, "x\ny"), "f1": (2019, "z"), "f2": (2020, "w"), "f3": (2018, "v"), "f4": (2018, None)}
+    assert sorted(map(len, src._alike(spark, str(tmp_path)))) == [1, 1, 1, 2]
