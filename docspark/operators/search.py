@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from docspark import schemas
 from docspark.functions import text as tx
 from docspark.operators.embed import Encoder, embed
+from docspark.sources.staging import stage
 
 # Chunk order, which decides between equal scores.
 CHUNK_ORDER = ("filename", "section_pos", "chunk_index")
 # Scores are compared at this precision, so float noise cannot reorder equal chunks.
 SCORE_DIGITS = 9
-# The stated queries go to every task: at most this many vector values (400 MB).
+# The stated queries go to every task in blocks of at most this many vector values (400 MB).
 QUERY_VALUES = 50_000_000
 # A task scores its chunks against this many queries at a time.
 QUERY_TILE = 4_096
@@ -49,68 +50,85 @@ def top_k(
     Chunks and queries without an embedding, or with a component that is null, infinite or
     not a number, are left out.
 
-    The queries are collected, ``QUERY_VALUES`` at most.  Each task multiplies its Arrow
-    batches with their matrix, some queries at a time, and keeps a running top k of keys and
-    scores.  Only those are shuffled and ranked; the columns of the winners come from one
-    last join with the chunks, which does not read the embeddings.
+    The queries are taken in blocks of ``QUERY_VALUES``; mostly there is one.  Each task
+    multiplies its Arrow batches with a block's matrix, some queries at a time, and keeps a
+    running top k of keys and scores.  Only those are shuffled and ranked; the columns of the
+    winners come from one last join with the chunks, which does not read the embeddings.
+    Further blocks are further passes over the same chunks, so write those first if there are
+    many questions.
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    ids, matrix, scopes = _collected(queries, scope)
     carried = [c for c in chunks.columns if c != embedding]
     # Names the chunk; equal chunks are interchangeable.
     chunk = F.struct(*order_by, F.xxhash64(*carried).alias("_row"))
     keys = [*order_by, *([scope] if scope is not None and scope not in order_by else [])]
-    seen = chunks
-    if scope is not None and None not in scopes:
-        seen = seen.where(F.col(scope).isin(sorted(set(scopes))))
-    if k == 0 or not len(matrix):
-        seen = seen.where(F.lit(False))
-    narrow = seen.select(*keys, F.xxhash64(*carried).alias("_row"), embedding)
-    kinds = {f.name: f for f in narrow.schema.fields}
+    kinds = {f.name: f for f in chunks.schema.fields} | {"_row": T.StructField("_row", T.LongType())}
     out = T.StructType(
         [
-            T.StructField("_q", T.IntegerType()),
+            T.StructField("_q", T.LongType()),
             *[kinds[c] for c in (*order_by, "_row")],
             T.StructField("similarity_score", T.DoubleType()),
         ]
     )
-    shipped = chunks.sparkSession.sparkContext.broadcast((matrix, scopes))
-    scored = narrow.mapInArrow(_scorer(shipped, k, list(order_by), scope, embedding), out)
-
     order = [F.desc("similarity_score"), *[F.col(c).asc_nulls_last() for c in (*order_by, "_row")]]
     group = F.spark_partition_id() % MERGE_GROUPS
-    merged = _best(scored.withColumn("_group", group), ["_q", "_group"], order, k)
-    ranked = _best(merged.drop("_group"), ["_q"], order, k)
-    hits = ranked.select("_q", "rank", "similarity_score", F.struct(*order_by, "_row").alias("_chunk"))
-    if len(matrix) * k <= BROADCAST_HITS:
-        hits = F.broadcast(hits)
+    id_field = queries.schema["query_id"]
+    named = T.StructType([T.StructField("_q", T.LongType()), id_field])
+
+    def best_of(ids: list, matrix: np.ndarray, scopes: list, first: int) -> tuple[DataFrame, DataFrame]:
+        """The best keys of a block of queries, numbered from ``first``, and their ids."""
+        seen = chunks
+        if scope is not None and None not in scopes:
+            seen = seen.where(F.col(scope).isin(sorted(set(scopes))))
+        if k == 0 or not len(matrix):
+            seen = seen.where(F.lit(False))
+        narrow = seen.select(*keys, F.xxhash64(*carried).alias("_row"), embedding)
+        shipped = chunks.sparkSession.sparkContext.broadcast((matrix, scopes))
+        scored = narrow.mapInArrow(_scorer(shipped, k, list(order_by), scope, embedding), out)
+        merged = _best(scored.withColumn("_group", group), ["_q", "_group"], order, k)
+        ranked = _best(merged.drop("_group"), ["_q"], order, k).withColumn("_q", F.col("_q") + first)
+        names = chunks.sparkSession.createDataFrame(list(enumerate(ids, first)), named)
+        return ranked.select("_q", "rank", "similarity_score", F.struct(*order_by, "_row").alias("_chunk")), names
+
+    hits = names = None
+    n_queries = 0
+    for (ids, matrix, scopes), last in _blocks(queries, scope):
+        part, own = best_of(ids, matrix, scopes, n_queries)
+        n_queries += len(ids)
+        if not last or hits is not None:
+            # A block's matrix leaves memory when its hits are written.
+            part, own = stage(part, "block_hits")[0], stage(own, "block_ids")[0]
+        hits = part if hits is None else hits.unionByName(part)
+        names = own if names is None else names.unionByName(own)
+    if n_queries * k <= BROADCAST_HITS:
+        hits, names = F.broadcast(hits), F.broadcast(names)
     found = chunks.select(*carried, chunk.alias("_own")).join(
         hits, F.col("_own").eqNullSafe(F.col("_chunk"))
     )
     # Equal chunks match each other's hits; every hit has one row.
     found = found.dropDuplicates(["_q", "rank"])
-    id_field = queries.schema["query_id"]
-    names = chunks.sparkSession.createDataFrame(
-        list(enumerate(ids)), T.StructType([T.StructField("_q", T.IntegerType()), id_field])
-    )
-    return found.join(F.broadcast(names), "_q").select("query_id", "rank", *carried, "similarity_score")
+    return found.join(names, "_q").select("query_id", "rank", *carried, "similarity_score")
 
 
-def _collected(queries: DataFrame, scope: str | None) -> tuple[list, np.ndarray, list]:
-    """Ids, vectors and scopes of the queries whose vectors are whole."""
+def _blocks(queries: DataFrame, scope: str | None) -> Iterator[tuple[tuple[list, np.ndarray, list], bool]]:
+    """Ids, vectors and scopes of the queries whose vectors are whole, in blocks, and whether it is the last."""
     value = F.col(scope) if scope is not None else F.lit(None).cast("int")
-    # The size is checked before anything is collected.
     stated = queries.select("query_id", value.alias("scope"), F.col("embedding").cast("array<double>").alias("v"))
-    stated = stated.where("v IS NOT NULL").limit(QUERY_VALUES + 1)
-    rows = []
+    rows: list[tuple] = []
     held = 0
-    for row in stated.toLocalIterator():
+    for row in stated.where("v IS NOT NULL").toLocalIterator():
+        if not all(x is not None and np.isfinite(x) for x in row.v):
+            continue
+        if rows and held + len(row.v) > QUERY_VALUES:
+            yield _block(rows), False
+            rows, held = [], 0
         held += len(row.v)
-        if held > QUERY_VALUES:
-            raise ValueError(f"the queries have more than {QUERY_VALUES} vector values")
-        if all(x is not None and np.isfinite(x) for x in row.v):
-            rows.append((row.query_id, row.scope, np.array(row.v)))
+        rows.append((row.query_id, row.scope, np.array(row.v)))
+    yield _block(rows), True
+
+
+def _block(rows: list[tuple]) -> tuple[list, np.ndarray, list]:
     matrix = np.array([r[2] for r in rows]) if rows else np.zeros((0, 0))
     return [r[0] for r in rows], matrix, [r[1] for r in rows]
 
@@ -194,7 +212,7 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
                     above = top[column[top] > kth]
                     equal = top[column[top] == kth][: k - len(above)]
                     top = np.concatenate([above, equal])
-                yield rows[top], np.full(len(top), seeing[j], np.int32), column[top]
+                yield rows[top], np.full(len(top), seeing[j], np.int64), column[top]
 
         for batch in batches:
             batch = batch.filter(pc.is_valid(batch.column(embedding)))
@@ -202,7 +220,7 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
             flat = vectors.flatten().to_numpy(zero_copy_only=False)
             if len(flat) != batch.num_rows * matrix.shape[1]:
                 raise ValueError("chunk and query embeddings differ in length")
-            vectors = flat.reshape(batch.num_rows, -1).astype(np.float64)
+            vectors = flat.reshape(batch.num_rows, matrix.shape[1]).astype(np.float64)
             whole = np.isfinite(vectors).all(axis=1)
             if not whole.any():
                 continue

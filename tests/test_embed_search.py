@@ -136,11 +136,13 @@ def test_top_k_in_many_blocks_tiles_and_batches(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_queries_beyond_the_bound_are_an_error(spark, monkeypatch):
-    chunks, queries = world(20, 5, 1)
-    monkeypatch.setattr(search, "QUERY_VALUES", 19)
-    with pytest.raises(ValueError, match="vector values"):
-        found(spark, chunks, queries, 3)
+@pytest.mark.parametrize("values", [1, 19, 40])
+def test_queries_beyond_the_bound_are_further_blocks(spark, monkeypatch, values):
+    chunks, queries = world(60, 7, 1)
+    monkeypatch.setattr(search, "QUERY_VALUES", values)
+    qs = spark.createDataFrame([tuple(q.values()) for q in queries], QUERY)
+    assert len(list(search._blocks(qs, "year"))) > 1
+    assert found(spark, chunks, queries, 3) == brute_force(chunks, queries, 3)
 
 
 def test_k_of_zero_and_below(spark):
