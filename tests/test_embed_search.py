@@ -136,7 +136,7 @@ def test_top_k_in_many_blocks_tiles_and_batches(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-@pytest.mark.parametrize("values", [1, 19, 40])
+@pytest.mark.parametrize("values", [1, 8, 19])
 def test_queries_beyond_the_bound_are_further_blocks(spark, monkeypatch, values):
     chunks, queries = world(60, 7, 1)
     monkeypatch.setattr(search, "QUERY_VALUES", values)
