@@ -561,4 +561,10 @@ from points""",
     "plot_outliers": _bins("outlier"),
     "plot_sections": _bins("section"),
     "plot_combined": _bins("company, cluster"),
+    "plot_sample": """
+select vec_id, label as prediction from embeddings
+where ('0x' || substr(md5('7:' || vec_id), 1, 8))::bigint / 2.0 ** 32
+      < case when label = 0 then 1.0::double when label = 1 then 1.0::double / 3
+             when label between 2 and 8 then 0.5 else 0 end""",
+    "plots_written": _bins("company, cluster"),
 }

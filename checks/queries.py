@@ -14,7 +14,7 @@ from docspark.functions import vectors as v
 from docspark.operators import choose, chunk, cluster, evaluate, keyword, plots, profile, refine, search, select, split
 from docspark.operators.embed import Encoder, embed, hash_bow, with_vector
 from docspark.operators.sections import extract_sections
-from docspark.plans.explore import explore
+from docspark.plans.explore import Exploration, explore, write_plots
 from docspark.plans.prepare import prepare
 from docspark.plans.retrieve import ask, index_chunks, retrieve
 from docspark.sources import filings as src, staging
@@ -611,3 +611,21 @@ def plot_sections(spark, sf):
 @query
 def plot_combined(spark, sf):
     return binned(plots.by_company(points(spark, sf), 0.05))
+
+
+@query
+def plot_sample(spark, sf):
+    """All of one cluster, a third of another, half of the rest but one."""
+    fractions = {0: 1.0, 1: 1 / 3, **{c: 0.5 for c in range(2, 9)}}
+    sample = plots.sample_by_hash(labelled(spark, sf), fractions, "vec_id", seed=7)
+    return sample.select("vec_id", "prediction")
+
+
+@query
+def plots_written(spark, sf):
+    """The result tables as they are written and read back."""
+    path = staging.new_folder(spark, "plots")
+    rows = points(spark, sf)
+    tables = {"combined": plots.by_company(rows, 0.05), "points": rows}
+    write_plots(Exploration(rows, tables, {}), path)
+    return binned(spark.read.parquet(f"{path}/combined"))

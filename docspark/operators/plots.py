@@ -28,6 +28,22 @@ def sample_points(points: DataFrame, fractions: dict[int, float], seed: int = 1)
     return points.sampleBy("cluster", fractions, seed)
 
 
+def sample_by_hash(
+    df: DataFrame, fractions: dict[int, float], key: str, *, by: str = "prediction", seed: int = 1
+) -> DataFrame:
+    """A stratified sample that depends on the rows only, not on how they are laid out.
+
+    A row stays if the hash of ``seed`` and ``key``, as a share of all hashes, is below the fraction
+    of its group; groups without a fraction go, as do rows without a key.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2.0**32
+    limit = F.lit(0.0)
+    for group, fraction in fractions.items():
+        limit = F.when(F.col(by) == group, F.lit(float(fraction))).otherwise(limit)
+    return df.where(share < limit)
+
+
 def bins(points: DataFrame, by: list[str], width: float) -> DataFrame:
     """Number of points per grid cell and group; ``x`` and ``y`` are the cell's corner."""
     return points.groupBy(

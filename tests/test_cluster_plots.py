@@ -189,3 +189,15 @@ def test_sample_points(points):
 def test_plane_is_pruned_to_two_numbers(points):
     assert points.select("x").schema["x"].dataType.typeName() == "double"
     assert points.agg(F.max("y")).first()[0] == 0.4
+
+
+def test_sample_by_hash_depends_on_rows_only(spark):
+    rows = spark.range(2000).selectExpr("id", "cast(id % 4 as int) as prediction")
+    rows = rows.unionByName(spark.createDataFrame([(None, 0)], "id long, prediction int"))
+    fractions = {0: 1.0, 1: 0.3, 2: 0.0}
+    found = [sorted(r.id for r in plots.sample_by_hash(rows.repartition(n), fractions, "id").collect()) for n in (1, 7)]
+    assert found[0] == found[1]
+    groups = [sum(i % 4 == g for i in found[0]) for g in range(4)]
+    assert groups[0] == 500 and 110 < groups[1] < 190 and groups[2:] == [0, 0]
+    other = [r.id for r in plots.sample_by_hash(rows, fractions, "id", seed=2).collect()]
+    assert sorted(other) != found[0]
