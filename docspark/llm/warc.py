@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docspark.llm import words as wd
 from docspark.sources import staging
@@ -48,10 +48,16 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system: a bare path lies where Spark's paths do, not on a machine's disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    if folder.startswith("/"):
-        return fs.LocalFileSystem(), folder
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+    if folder.startswith(("/", "file:/")):
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", folder)
+    return fs.FileSystem.from_uri(folder)
 
 
 def _record(page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers: int | None) -> bytes:
@@ -103,6 +109,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     Rows whose payload has at least ``min_bytes`` bytes and equals that of a smaller page_id
     become revisits of it.
     """
+    folder = _qualified(pages.sparkSession, folder)
     html = F.coalesce("html", F.lit(""))
     page = F.col("page_id").cast("long").alias("page_id")
     narrow = pages.select(page, F.sha1(html).alias("sha"), F.octet_length(html).alias("size"))
@@ -182,6 +189,7 @@ def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
 
     A revisit has no payload of its own: its size and digest are those of the full payload.
     """
+    folder = _qualified(index.sparkSession, folder)
     fields = RECORD.split(", ") if payload else RECORD.split(", ")[:-1]
     names = [field.split()[0] for field in fields]
     kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}

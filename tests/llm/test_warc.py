@@ -22,7 +22,7 @@ ROWS = [
 @pytest.fixture
 def written(spark, tmp_path):
     pages = spark.createDataFrame([(*r, "x", "y") for r in ROWS], "page_id long, url string, html string, size string, first string")
-    folder = str(tmp_path / "archives")
+    folder = str(tmp_path / "archives of pages")
     return warc.write(pages.repartition(3), folder), folder
 
 
@@ -82,3 +82,8 @@ def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = str(tmp_path / "none")
     assert warc.read(warc.write(pages, folder), folder).collect() == []
+
+
+def test_a_bare_path_is_qualified(spark, tmp_path):
+    assert warc._qualified(spark, f"{tmp_path}/a b") == f"file:{tmp_path}/a b"
+    assert warc._qualified(spark, f"file://{tmp_path}/x").endswith(f"{tmp_path}/x")
