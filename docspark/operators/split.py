@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docspark.functions import text as tx
@@ -17,6 +18,8 @@ from docspark.operators.embed import Encoder
 
 # Distances of neighbours are compared at this precision.
 DISTANCE_DIGITS = 9
+# Sentences whose vectors a task holds at a time; more if a single text has more.
+HELD_SENTENCES = 8_192
 # A blank line.
 PARAGRAPH = rf"\n(?:{tx.WS})*\n"
 
@@ -128,24 +131,33 @@ def chunk_recursive(
 
 def _topic_cuts(encoder: Encoder, percentile: float):
     """Where topics start among a text's sentences, from 1, given all sentences of a batch."""
-    load, size = encoder.load, encoder.batch_size
+    load, size, held = encoder.load, encoder.batch_size, HELD_SENTENCES
 
     @F.arrow_udf("array<int>")
     def cuts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
-        for batch in batches:
-            texts = batch.flatten().to_pylist()
+
+        def unit(texts: list[str]) -> np.ndarray:
             parts = [np.asarray(model(texts[i : i + size]), np.float64) for i in range(0, len(texts), size)]
             vectors = np.concatenate(parts) if parts else np.zeros((0, 1))
             length = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-            unit = np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
-            found, at = [], 0
-            for n in (0 if row is None else len(row) for row in batch.to_pylist()):
-                own = unit[at : at + n]
-                at += n
-                apart = np.round(1 - (own[1:] * own[:-1]).sum(axis=1), DISTANCE_DIGITS)
-                limit = np.round(np.quantile(apart, percentile), DISTANCE_DIGITS) if n > 1 else 0.0
-                found.append([1, *(np.flatnonzero(apart > limit) + 2).tolist()] if n else [])
+            return np.divide(vectors, length, out=np.zeros_like(vectors), where=length > 0)
+
+        for batch in batches:
+            sentences = batch.flatten()
+            ends = np.cumsum(pc.list_value_length(batch).fill_null(0).to_numpy(zero_copy_only=False))
+            found, row = [], 0
+            while row < len(batch):
+                # Some texts at a time, so that few vectors are held.
+                start = int(ends[row - 1]) if row else 0
+                last = max(row + 1, int(np.searchsorted(ends, start + held, "right")))
+                vectors = unit(sentences[start : int(ends[last - 1])].to_pylist())
+                for a, b in zip([start, *ends[row : last - 1].tolist()], ends[row:last].tolist()):
+                    own = vectors[a - start : b - start]
+                    apart = np.round(1 - (own[1:] * own[:-1]).sum(axis=1), DISTANCE_DIGITS)
+                    limit = np.round(np.quantile(apart, percentile), DISTANCE_DIGITS) if len(apart) else 0.0
+                    found.append([1, *(np.flatnonzero(apart > limit) + 2).tolist()] if b > a else [])
+                row = last
             yield pa.array(found, pa.list_(pa.int32()))
 
     return cuts

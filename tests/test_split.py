@@ -107,7 +107,9 @@ def topics():
     return Encoder(lambda: lambda ts: np.array([[1, 0] if "cat" in t else [0, 1] if "dog" in t else [0, 0] for t in ts], np.float32), 2)
 
 
-def test_topics_end_chunks(spark):
+@pytest.mark.parametrize("held", [1, 4, 8192])
+def test_topics_end_chunks(spark, monkeypatch, held):
+    monkeypatch.setattr(split, "HELD_SENTENCES", held)
     rows = ["A cat. My cat sat. The dog ran. Old dog. A dog.", "Only one", None, "", "A cat. A cat. A cat."]
     found = chunks_of(spark, rows, lambda df: split.chunk_semantic(df, topics(), percentile=0.7))
     assert found == [["A cat. My cat sat.", "The dog ran. Old dog. A dog."], ["Only one"], [], [], ["A cat. A cat. A cat."]]
