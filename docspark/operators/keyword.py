@@ -114,7 +114,8 @@ def build(
     each = numbered.select("_no", value.alias("_scope"), F.size(words).alias("_size"), _term_counts(words).alias("_terms"))
     average = numbered.agg(F.avg(F.size(words))).first()[0] or 0.0
     length = F.lit(1.0 - b) + (F.lit(b) * F.col("_size") / F.lit(average or 1.0))
-    rows = each.select("_no", "_scope", length.alias("_length"), F.inline("_terms"))
+    # Not the inner form, for which the planner would count the words again to filter rows.
+    rows = each.select("_no", "_scope", length.alias("_length"), F.inline_outer("_terms")).where("term IS NOT NULL")
     factor = F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + F.lit(k1) * F.col("_length"))
     place = (F.col("_no") % RANGE_CHUNKS).cast("int")
     postings = (
@@ -134,7 +135,8 @@ def _question_terms(index: Index, queries: DataFrame) -> DataFrame:
     plain = tx.collapse(F.col("query"))
     value = F.col(index.scope) if index.scope is not None else F.lit(None)
     kind = index.postings.schema["_scope"].dataType
-    asked = queries.select("query_id", value.cast(kind).alias("_of"), F.inline(_term_counts(words_of(plain))))
+    terms = F.inline_outer(_term_counts(words_of(plain)))
+    asked = queries.select("query_id", value.cast(kind).alias("_of"), terms).where("term IS NOT NULL")
     rare = F.log(F.lit(1.0) + (F.lit(index.n_chunks) - F.col("n_chunks") + 0.5) / (F.col("n_chunks") + 0.5))
     return asked.join(index.terms, "term").select("query_id", "_of", "term", (F.col("tf") * rare).alias("weight"))
 
