@@ -1,31 +1,42 @@
 """Keyword search by BM25 over an inverted index, and the fusion of ranked lists.
 
 The index is three tables.  ``chunks`` are numbered in chunk order, so that equal scores rank by
-number.  ``postings`` has one row per word, scope and range of chunk numbers, with the chunks of
+number.  ``postings`` has a row per word, scope and range of chunk numbers, with the chunks of
 the range that hold the word and the best score the word reaches in any of them; a frequent word
 is so spread over many rows, and no row grows with the table.  ``terms`` counts chunks per word.
+Chunks of a range lie in one partition, so postings are made where the chunks lie; a range that a
+scan has cut has a row for each part.
 
 A search of any number of questions is one job of joins and sums.  First only the best scores are
 read: their sum over a question's words bounds what a chunk of a range can reach.  The ranges with
 the highest bounds are scored, which gives each question a k-th score; of the other ranges only
-those are scored whose bound reaches it.  Nothing is collected.
+those are scored whose bound reaches it.  The postings of the asked words meet the questions range
+by range, and a range gives at most k chunks per question.  Nothing is collected.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from docspark import schemas
 from docspark.functions import text as tx
-from docspark.operators.search import CHUNK_ORDER, SCORE_DIGITS
-from docspark.operators.split import bound
+from docspark.operators.search import BROADCAST_HITS, CHUNK_ORDER, SCORE_DIGITS
+from docspark.operators.split import bound, word_count
 from docspark.sources import staging
 
-# Chunks of one range, at most.
+# Chunks of one range, at most; not over 65,536.
 RANGE_CHUNKS = 4_096
+# Bytes of text whose words a task counts at a time.
+HELD_BYTES = 16_000_000
+# Words of questions that meet a range's postings at a time, at most; mostly that is all.
+ASKED_WORDS = 500_000
 # Ranges that are scored to find a question's k-th score.
 FIRST_RANGES = 4
 # The usual constants of the formula.
@@ -75,6 +86,10 @@ class Index:
         """Write the index; ``load`` reads it back."""
         for name in ("chunks", "postings", "terms"):
             getattr(self, name).write.parquet(f"{path}/{name}")
+        self.save_numbers(path)
+
+    def save_numbers(self, path: str) -> None:
+        """Write the numbers that scores depend on."""
         row = (self.n_chunks, self.average, list(self.order_by), self.scope, self.k1, self.b)
         fields = "n_chunks LONG, average DOUBLE, order_by ARRAY<STRING>, scope STRING, k1 DOUBLE, b DOUBLE"
         self.chunks.sparkSession.createDataFrame([row], fields).coalesce(1).write.parquet(f"{path}/numbers")
@@ -87,6 +102,88 @@ def load(spark: SparkSession, path: str) -> Index:
     return Index(**tables, **numbers)
 
 
+# A posting's columns behind its word and scope; for each chunk where in the range it is, how often it
+# has the word, and of how many words it is, as little-endian numbers of the fewest bytes.
+_NUMBERS = ("at", "tf", "size")
+_KINDS = {1: np.dtype("u1"), 2: np.dtype("<u2"), 4: np.dtype("<u4")}
+_POSTING = [
+    T.StructField("_range", T.LongType()),
+    T.StructField("best", T.DoubleType()),
+    T.StructField("n_found", T.IntegerType()),
+    *[T.StructField(name, T.BinaryType()) for name in _NUMBERS],
+]
+
+
+def _factor(tf: np.ndarray, size: np.ndarray, k1: float, b: float, average: float) -> np.ndarray:
+    return tf * (k1 + 1) / (tf + k1 * ((1 - b) + b * size / (average or 1.0)))
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of numbers as one binary value each."""
+    step = next(n for n in _KINDS if values.max() < 256**n)
+    offsets, data = (ends * step).astype(np.int32), values.astype(_KINDS[step])
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _unpacked(found: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(found, _KINDS[len(found) // n]).astype(np.int64)
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
+def _counter(k1: float, b: float, average: float) -> Callable:
+    """The task side of the index: numbered lower-cased texts in, postings out."""
+    range_chunks, held_bytes = RANGE_CHUNKS, HELD_BYTES
+
+    def postings(held: list[pa.RecordBatch], nth: int) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        number, scope, text = (c.chunk(0) for c in table.columns)
+        lists = pc.split_pattern(text.cast(pa.large_string()), " ")
+        size = pc.list_value_length(lists).to_numpy()
+        row = pc.list_parent_indices(lists).to_numpy()
+        words = pc.list_flatten(lists).dictionary_encode()
+        scopes = scope.dictionary_encode()
+        n_scopes, n_rows = len(scopes.dictionary) + 1, len(size)
+        of_row = scopes.indices.fill_null(n_scopes - 1).to_numpy().astype(np.int64)
+        key = (words.indices.to_numpy().astype(np.int64) * n_scopes + of_row[row]) * n_rows + row
+        key, tf = np.unique(key, return_counts=True)
+        group, row = np.divmod(key, n_rows)
+        first = _starts(group)
+        best = np.maximum.reduceat(_factor(tf, size[row], k1, b, average), first)
+        term, code = np.divmod(group[first], n_scopes)
+        ends = np.append(first, len(group))
+        numbers = (number.to_numpy()[row] - nth * range_chunks, tf, size[row])
+        parts = [pa.array(np.diff(ends), pa.int32()), *[_packed(values, ends) for values in numbers]]
+        own = scopes.dictionary.take(pa.array(code, mask=code == n_scopes - 1))
+        found = [words.dictionary.cast(pa.string()).take(pa.array(term)), own, pa.array(np.full(len(first), nth, np.int64)), pa.array(best), *parts]
+        return pa.RecordBatch.from_arrays(found, ["term", "_scope", *[f.name for f in _POSTING]])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        n_bytes, held_range = 0, -1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of = batch.column(0).to_numpy() // range_chunks
+            length = pc.binary_length(batch.column(2)).to_numpy().astype(np.int64)
+            # Pieces of one range and of bounded size.
+            cuts = np.flatnonzero((of[1:] != of[:-1]) | (np.diff(np.cumsum(length) // held_bytes) > 0)) + 1
+            for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(of)]):
+                if held and (of[begin] != held_range or n_bytes >= held_bytes):
+                    yield postings(held, held_range)
+                    held, n_bytes = [], 0
+                held.append(batch.slice(begin, end - begin))
+                held_range = int(of[begin])
+                n_bytes += int(length[begin:end].sum())
+        if held:
+            yield postings(held, held_range)
+
+    return count
+
+
 def build(
     chunks: DataFrame,
     *,
@@ -95,39 +192,39 @@ def build(
     scope: str | None = "year",
     k1: float = K1,
     b: float = B,
+    path: str | None = None,
 ) -> Index:
     """Index the words of ``text``, which is a collapsed text, as chunks are.
 
-    A chunk without text is kept and never found.  Word counts are taken within the row; one
-    shuffle brings the chunks of a word and range together.
+    A chunk without text is kept and never found.  One shuffle lays the chunks out in order; words
+    are counted where they lie.  With a ``path`` the tables are written there, for ``load``, and need
+    no ``save``.
     """
     if k1 < 0 or not 0 <= b <= 1:
         raise ValueError("need k1 >= 0 and 0 <= b <= 1")
+    at = lambda name: f"{path}/{name}" if path is not None else None
     # Laid out in chunk order, so that numbers compare as chunks do.
     laid = chunks.drop("embedding").repartitionByRange(*[F.col(c).asc_nulls_last() for c in order_by])
     laid = laid.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order_by])
     numbered = laid.withColumn("_no", F.monotonically_increasing_id())
-    numbered, n_chunks = staging.stage(numbered, "keyword_chunks")
+    plain = F.col(text)
+    size = F.when(F.length(plain) > 0, word_count(plain)).otherwise(0)
+    seen = Observation("words")
+    numbered, n_chunks = staging.stage(numbered.observe(seen, F.sum(size).alias("words")), "keyword_chunks", at("chunks"))
+    average = (seen.get["words"] or 0) / max(1, n_chunks)
 
     value = F.col(scope) if scope is not None else F.lit(None).cast("int")
-    words = words_of(F.col(text))
-    each = numbered.select("_no", value.alias("_scope"), F.size(words).alias("_size"), _term_counts(words).alias("_terms"))
-    average = numbered.agg(F.avg(F.size(words))).first()[0] or 0.0
-    length = F.lit(1.0 - b) + (F.lit(b) * F.col("_size") / F.lit(average or 1.0))
-    # Not the inner form, for which the planner would count the words again to filter rows.
-    rows = each.select("_no", "_scope", length.alias("_length"), F.inline_outer("_terms")).where("term IS NOT NULL")
-    factor = F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + F.lit(k1) * F.col("_length"))
-    place = (F.col("_no") % RANGE_CHUNKS).cast("int")
-    postings = (
-        rows.select("term", "_scope", F.expr(f"_no div {RANGE_CHUNKS}").alias("_range"), F.struct(place.alias("at"), factor.alias("factor")).alias("p"))
-        .groupBy("term", "_scope", "_range")
-        .agg(F.max("p.factor").alias("best"), F.array_sort(F.collect_list("p")).alias("found"))
-    )
-    # Words that are near in order lie near on disk, so a search skips most row groups.
-    postings, _ = staging.stage(postings.sortWithinPartitions("term", "_range"), "keyword_postings")
-    terms = postings.groupBy("term").agg(F.sum(F.size("found")).alias("n_chunks"))
-    terms, _ = staging.stage(terms.sortWithinPartitions("term"), "keyword_terms")
-    return Index(numbered, postings, terms, n_chunks, float(average), tuple(order_by), scope, k1, b)
+    rows = numbered.select("_no", value.alias("_scope"), F.lower(plain).alias("_text")).where(F.length("_text") > 0)
+    kind = rows.schema["_scope"]
+    out = T.StructType([T.StructField("term", T.StringType()), kind, *_POSTING])
+    postings = rows.mapInArrow(_counter(k1, b, average), out)
+    postings, _ = staging.stage(postings, "keyword_postings", at("postings"))
+    terms = postings.groupBy("term").agg(F.sum("n_found").alias("n_chunks"))
+    terms, _ = staging.stage(terms.sortWithinPartitions("term"), "keyword_terms", at("terms"))
+    index = Index(numbered, postings, terms, n_chunks, average, tuple(order_by), scope, k1, b)
+    if path is not None:
+        index.save_numbers(path)
+    return index
 
 
 def _question_terms(index: Index, queries: DataFrame) -> DataFrame:
@@ -148,14 +245,83 @@ def _seen(index: Index) -> Column:
     return F.col("_of").isNull() | (F.col("_of") == F.col("_scope"))
 
 
-def _scored(asked: DataFrame, postings: DataFrame, ranges: DataFrame, index: Index) -> DataFrame:
-    """The scores (query_id, _no, score) of all chunks in the given ranges of each question."""
+@dataclass(frozen=True)
+class _Rule:
+    """How many chunks of a range are kept per question, how they score, and blocks of questions."""
+
+    k: int
+    k1: float
+    b: float
+    average: float
+    blocks: int
+
+
+def _scored(asked: DataFrame, postings: DataFrame, ranges: DataFrame, rule: _Rule) -> DataFrame:
+    """The scores (query_id, _no, score) of the k best chunks of each question in each of its given ranges.
+
+    ``asked`` has the block of every question.  Only postings of asked words in wanted ranges move.
+    """
     wanted = asked.join(ranges, "query_id")
-    found = wanted.join(postings, ["term", "_range"]).where(_seen(index))
-    each = found.select("query_id", "_range", "weight", F.inline("found"))
-    number = (F.col("_range") * RANGE_CHUNKS + F.col("at")).alias("_no")
-    summed = each.groupBy("query_id", number).agg(F.sum(F.col("weight") * F.col("factor")).alias("score"))
-    return summed.withColumn("score", F.round("score", SCORE_DIGITS))
+    found = postings.join(F.broadcast(ranges.select("_range").distinct()), "_range", "left_semi")
+    found = found.join(_shipped(asked.select("term").distinct(), rule), "term", "left_semi")
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(rule.blocks - 1))) if rule.blocks > 1 else F.lit(0)
+    found = found.select("_range", "term", "_scope", "n_found", *_NUMBERS, blocks.alias("_block"))
+    out = T.StructType([asked.schema["query_id"], T.StructField("_no", T.LongType()), T.StructField("score", T.DoubleType())])
+    return wanted.groupBy("_range", "_block").cogroup(found.groupBy("_range", "_block")).applyInArrow(_best_of_range(rule), out)
+
+
+def _shipped(asked: DataFrame, rule: _Rule) -> DataFrame:
+    """Words of questions go to every task if there is one block of them."""
+    return F.broadcast(asked) if rule.blocks == 1 else asked
+
+
+def _best_of_range(rule: _Rule) -> Callable:
+    """The task side of a search: the questions and the postings of one range in, its best chunks out."""
+    range_chunks, digits, k = RANGE_CHUNKS, SCORE_DIGITS, rule.k
+
+    def best_of(asked: pa.Table, postings: pa.Table) -> pa.Table:
+        ids = asked.column("query_id").combine_chunks().dictionary_encode()
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        if asked.num_rows and postings.num_rows and k:
+            nth = asked.column("_range")[0].as_py()
+            for q, at, score in scored(asked, ids.indices.to_numpy(), postings):
+                found.append((np.full(len(at), q, np.int64), at + nth * range_chunks, score))
+        q, number, score = map(np.concatenate, zip(nothing, *found))
+        return pa.table({"query_id": ids.dictionary.take(pa.array(q)), "_no": number, "score": score})
+
+    def scored(asked: pa.Table, of_query: np.ndarray, postings: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per question its best places in the range, in chunk order, and their scores."""
+        ends = np.cumsum([0, *postings.column("n_found").to_pylist()])
+        each = np.diff(ends).tolist()
+        at, tf, size = (np.concatenate([_unpacked(x, n) for x, n in zip(postings.column(c).to_pylist(), each)]) for c in _NUMBERS)
+        factor = _factor(tf, size, rule.k1, rule.b, rule.average)
+        rows: dict[str, list[tuple]] = {}
+        for i, (word, scope) in enumerate(zip(postings.column("term").to_pylist(), postings.column("_scope").to_pylist())):
+            rows.setdefault(word, []).append((scope, at[ends[i] : ends[i + 1]], factor[ends[i] : ends[i + 1]]))
+        # Words are summed in one order, so that copies of a chunk score alike in all ranges.
+        terms, scopes, weights = (asked.column(c).to_pylist() for c in ("term", "_of", "weight"))
+        order = sorted(range(len(terms)), key=lambda i: (of_query[i], terms[i]))
+        of_query = of_query[order]
+        total = np.zeros(range_chunks)
+        starts = _starts(of_query).tolist()
+        for begin, end in zip(starts, [*starts[1:], len(order)]):
+            total[:] = 0
+            for i in order[begin:end]:
+                for scope, places, factors in rows.get(terms[i], ()):
+                    if scopes[i] is None or scopes[i] == scope:
+                        total[places] += weights[i] * factors
+            hit = np.flatnonzero(total)
+            score = np.round(total[hit], digits)
+            if len(hit) > k:
+                # All above the k-th score, then the first ones equal to it.
+                kth = np.partition(score, len(hit) - k)[len(hit) - k]
+                above = np.flatnonzero(score > kth)
+                top = np.concatenate([above, np.flatnonzero(score == kth)[: k - len(above)]])
+                hit, score = hit[top], score[top]
+            yield int(of_query[begin]), hit, score
+
+    return best_of
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -173,8 +339,10 @@ def top_k(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
     """
     if k < 0:
         raise ValueError("k must not be negative")
-    asked, _ = staging.stage(_question_terms(index, queries), "question_terms")
-    bounds = asked.join(index.postings.select("term", "_scope", "_range", "best"), "term").where(_seen(index))
+    asked, n_asked = staging.stage(_question_terms(index, queries), "question_terms")
+    rule = _Rule(k, index.k1, index.b, index.average, max(1, -(-n_asked // ASKED_WORDS)))
+    asked = asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(rule.blocks)).cast("int"))
+    bounds = _shipped(asked, rule).join(index.postings.select("term", "_scope", "_range", "best"), "term").where(_seen(index))
     # A range at the border of two scopes has a row for each.
     bounds = bounds.groupBy("query_id", "_range", "term", "weight").agg(F.max("best").alias("best"))
     bounds = bounds.groupBy("query_id", "_range").agg(F.sum(F.col("weight") * F.col("best")).alias("bound"))
@@ -182,14 +350,17 @@ def top_k(index: Index, queries: DataFrame, k: int = 5) -> DataFrame:
 
     order = Window.partitionBy("query_id").orderBy(F.desc("bound"), "_range")
     first = bounds.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= FIRST_RANGES)
-    early = _best(_scored(asked, index.postings, first.select("query_id", "_range"), index), k)
+    early = _best(_scored(asked, index.postings, first.select("query_id", "_range"), rule), k)
     early, _ = staging.stage(early, "early_hits")
     floor = early.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
     # Ranges below the k-th score cannot change the result.
     rest = bounds.join(first.select("query_id", "_range"), ["query_id", "_range"], "left_anti")
     rest = rest.join(floor, "query_id", "left").where(F.col("floor").isNull() | (F.col("bound") + SLACK >= F.col("floor")))
-    late = _best(_scored(asked, index.postings, rest.select("query_id", "_range"), index), k)
+    late = _best(_scored(asked, index.postings, rest.select("query_id", "_range"), rule), k)
     hits = _best(early.drop("rank").unionByName(late.drop("rank")), k)
+    # Numbers and scores only; the texts of the index are not shuffled for few hits.
+    hits, n_hits = staging.stage(hits, "hits")
+    hits = F.broadcast(hits) if n_hits <= BROADCAST_HITS else hits
     return hits.join(index.chunks, "_no").drop("_no")
 
 

@@ -43,13 +43,13 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write a stage once, and return the table read back with its row count.
+def stage(df: DataFrame, name: str, path: str | None = None) -> tuple[DataFrame, int]:
+    """Write a stage once, to a folder of its own or to ``path``, and return the table read back with its row count.
 
     A written table outlives lost executors, and later passes read only the columns they
     use, unlike a row checkpoint.
     """
-    path = new_folder(df.sparkSession, name)
+    path = path if path is not None else new_folder(df.sparkSession, name)
     counted, seen = observed(df, name)
     counted.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]

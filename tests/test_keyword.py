@@ -72,6 +72,44 @@ def test_against_a_plain_version(spark, monkeypatch, k):
     same(found(keyword.top_k(index, questions_of(spark, QUESTIONS), k)), plain(texts, QUESTIONS, k))
 
 
+@pytest.mark.parametrize("name, value", [("ASKED_WORDS", 2), ("HELD_BYTES", 40)])
+def test_blocks_of_questions_and_pieces_of_ranges(spark, monkeypatch, name, value):
+    monkeypatch.setattr(keyword, "RANGE_CHUNKS", 16)
+    monkeypatch.setattr(keyword, "FIRST_RANGES", 1)
+    monkeypatch.setattr(keyword, name, value)
+    texts = random_texts(80, 7)
+    index = keyword.build(chunks_of(spark, texts))
+    same(found(keyword.top_k(index, questions_of(spark, QUESTIONS), 3)), plain(texts, QUESTIONS, 3))
+
+
+def test_a_range_gives_k_chunks_per_question(spark, monkeypatch):
+    """What is shuffled after scoring follows ranges, not chunks times questions."""
+    scored = []
+    real = keyword._scored
+    monkeypatch.setattr(keyword, "_scored", lambda a, p, ranges, i: scored.append(real(a, p, ranges, i)) or scored[-1])
+    index = keyword.build(chunks_of(spark, [(f"the w{i}", 2019) for i in range(100)]).coalesce(1))
+    keyword.top_k(index, questions_of(spark, [(1, "the", 2019), (2, "the w5", 2019)]), 3)
+    n_ranges = index.postings.select("_range").distinct().count()
+    assert 0 < sum(s.count() for s in scored) <= 2 * 3 * n_ranges
+
+
+def test_numbers_of_any_size(spark):
+    texts = [("rare " + "much " * 70_000 + "end", 2019), ("much " * 300 + "end", 2019), ("much end", 2019)]
+    texts = [(t.strip(), y) for t, y in texts]
+    asked = [(1, "much", 2019), (2, "rare end", 2019)]
+    same(found(keyword.top_k(keyword.build(chunks_of(spark, texts)), questions_of(spark, asked), 3)), plain(texts, asked, 3))
+
+
+def test_an_index_is_built_where_it_stays(spark, tmp_path):
+    """Built at a path, each table is written once; there is no copy in the shared folder."""
+    texts = random_texts(40, 5)
+    index = keyword.build(chunks_of(spark, texts), path=str(tmp_path / "index"))
+    assert all(str(tmp_path) in f for t in (index.chunks, index.postings, index.terms) for f in t.inputFiles())
+    again = keyword.load(spark, str(tmp_path / "index"))
+    assert (again.n_chunks, again.average) == (index.n_chunks, index.average)
+    same(found(keyword.top_k(again, questions_of(spark, QUESTIONS), 3)), plain(texts, QUESTIONS, 3))
+
+
 def test_copies_of_a_chunk_rank_in_chunk_order(spark, monkeypatch):
     monkeypatch.setattr(keyword, "RANGE_CHUNKS", 4)
     texts = [("same words here", 2019)] * 60 + [("other", 2019)]
