@@ -476,7 +476,9 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 def bm25_search(spark, sf):
     """All questions by keywords, on an index that was written and read back."""
     path = staging.new_folder(spark, "keyword_index")
-    keyword.build(chunk.chunk_wide(wide(spark, sf))).save(path)
+    # Written first: laying chunks out in order reads them twice.
+    chunks, _ = staging.stage(chunk.chunk_wide(wide(spark, sf)), "chunks")
+    keyword.build(chunks, path=path)
     hits = keyword.search(keyword.load(spark, path), questions(spark, sf), 5)
     return hits.withColumn("similarity_score", rounded("similarity_score", 6))
 
