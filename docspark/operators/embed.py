@@ -12,6 +12,11 @@ import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
+# Words whose buckets a task remembers (about 20 MB).
+KNOWN_WORDS = 100_000
+# Texts whose words a task counts at a time.
+COUNTED_TEXTS = 1_024
+
 Model = Callable[[list[str]], np.ndarray]
 
 
@@ -41,13 +46,17 @@ def hash_bow(dim: int = 64) -> Encoder:
         def bucket(word: str) -> int:
             found = buckets.get(word)
             if found is None:
-                if len(buckets) > 1_000_000:
+                if len(buckets) >= KNOWN_WORDS:
                     buckets.clear()
                 digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
                 found = buckets[word] = int(digest[:6], 16) % dim
             return found
 
         def encode(texts: list[str]) -> np.ndarray:
+            parts = [count(texts[i : i + COUNTED_TEXTS]) for i in range(0, len(texts), COUNTED_TEXTS)]
+            return np.concatenate(parts) if parts else np.zeros((0, dim), np.float32)
+
+        def count(texts: list[str]) -> np.ndarray:
             lists = pc.split_pattern(pc.utf8_lower(pa.array(texts, pa.large_string())), " ")
             words = pc.list_flatten(lists).dictionary_encode()
             of_word = np.array([bucket(w) for w in words.dictionary.to_pylist()], np.int64)
@@ -77,9 +86,10 @@ def embed(
         model = load()
         for batch in batches:
             present = pc.is_valid(batch).to_numpy(zero_copy_only=False)
-            texts = batch.drop_null().to_pylist()
+            texts = batch.drop_null()
+            # Python strings of one call at a time.
             parts = [
-                np.asarray(model(texts[i : i + size]), np.float32)
+                np.asarray(model(texts.slice(i, size).to_pylist()), np.float32)
                 for i in range(0, len(texts), size)
             ]
             matrix = np.concatenate(parts) if parts else np.zeros((0, 1), np.float32)

@@ -1,6 +1,10 @@
 """Embedding jobs and exact search, against brute force."""
 
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +12,7 @@ from docspark import schemas
 from docspark.functions import vectors as v
 from docspark.operators import search
 from docspark.operators.chunk import chunk_wide
-from docspark.operators.embed import Encoder, embed, hash_bow
+from docspark.operators.embed import COUNTED_TEXTS, Encoder, embed, hash_bow
 
 
 def test_null_text_and_unit_length(spark):
@@ -217,3 +221,38 @@ def test_each_chunk_is_encoded_once_per_search(spark, indexed):
     queries = spark.createDataFrame([(1, "apple", 2020)], "query_id INT, query STRING, year INT")
     plan = search.search(indexed, queries, ENCODER)._jdf.queryExecution().toString()
     assert plan.split("Physical Plan")[1].count("ArrowEvalPython") == 1
+
+
+def test_words_that_an_encoder_remembers_are_bounded():
+    encode = hash_bow().load()
+    encode(["warm up"])
+    tracemalloc.start()
+    for i in range(8):
+        encode([" ".join(f"word{i}x{j}x{n}" for n in range(500)) for j in range(100)])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 30e6
+
+
+def test_texts_are_counted_in_pieces_with_one_result():
+    texts = [f"some words w{i % 7} w{i}" for i in range(2 * COUNTED_TEXTS + 5)]
+    encode = hash_bow().load()
+    assert np.array_equal(encode(texts), np.concatenate([encode([t]) for t in texts]))
+
+
+def test_only_scores_that_may_win_are_rounded(monkeypatch):
+    """Behind the first batches few scores reach the k-th best one."""
+    rng, rounded = np.random.default_rng(0), []
+    real = np.round
+    monkeypatch.setattr(np, "round", lambda a, *more: rounded.append(np.size(a)) or real(a, *more))
+    matrix = rng.normal(size=(3, 8))
+    shipped = SimpleNamespace(value=(matrix, [None] * 3))
+    rows = rng.normal(size=(4000, 8))
+    batches = [
+        pa.RecordBatch.from_pydict({"n": np.arange(i, i + 50), "_row": np.arange(i, i + 50), "e": rows[i : i + 50].tolist()})
+        for i in range(0, 4000, 50)
+    ]
+    found = pa.Table.from_batches(list(search._scorer(shipped, 2, ["n"], None, "e")(iter(batches))))
+    score = real(search._unit(rows) @ search._unit(matrix).T, 9)
+    assert {(r["_q"], r["n"]) for r in found.to_pylist()} == {(q, n) for q in range(3) for n in np.argsort(-score[:, q])[:2]}
+    assert sum(rounded) < score.size / 2
