@@ -202,10 +202,13 @@ def _scorer(shipped, k: int, order_by: list[str], scope: str | None, embedding:
 
         def best_of(vectors: np.ndarray, rows: np.ndarray, seeing: np.ndarray):
             """The scores of one tile that may win: (row, query, score)."""
-            block = np.round(vectors[rows] @ matrix[seeing].T, digits) + 0.0
-            for j in np.flatnonzero(block.max(axis=0) >= floor[seeing]):
-                column = block[:, j]
+            block = vectors[rows] @ matrix[seeing].T
+            # Only the few columns that may win are rounded; rounding moves a score by less than its last digit.
+            for j in np.flatnonzero(block.max(axis=0) >= floor[seeing] - 10.0**-digits):
+                column = np.round(block[:, j], digits) + 0.0
                 top = np.flatnonzero(column >= floor[seeing[j]])
+                if not len(top):
+                    continue
                 if len(top) > k:
                     # All above the k-th score, then the first ones equal to it.
                     kth = np.partition(column[top], len(top) - k)[len(top) - k]
